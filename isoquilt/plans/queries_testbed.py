@@ -1,0 +1,41 @@
+"""The derived domain tables themselves."""
+
+from isoquilt.plans import testbed
+from isoquilt.plans.registry import query
+
+
+@query("table_alignments", "alignments", "SELECT read_name, flag, rname, pos, mapq, cigar, md5(seq) AS seq FROM alignments")
+def table_alignments(spark, sf):
+    from pyspark.sql import functions as F
+
+    return testbed.alignments(spark, sf).withColumn("seq", F.md5("seq"))
+
+
+@query("table_gene_bed", "gene_bed", "SELECT * FROM gene_bed")
+def table_gene_bed(spark, sf):
+    return testbed.gene_bed(spark, sf)
+
+
+@query("table_gtf_exons", "gtf_exons", "SELECT * FROM gtf_exons")
+def table_gtf_exons(spark, sf):
+    return testbed.gtf_exons(spark, sf)
+
+
+@query("table_cell_exon", "cell_exon", "SELECT * FROM cell_exon")
+def table_cell_exon(spark, sf):
+    return testbed.cell_exon(spark, sf)
+
+
+@query("table_splice_count", "splice_count", "SELECT * FROM splice_count")
+def table_splice_count(spark, sf):
+    return testbed.splice_count(spark, sf)
+
+
+@query("table_exon_coverage_reads", "exon_coverage_reads", "SELECT * FROM exon_coverage_reads")
+def table_exon_coverage_reads(spark, sf):
+    return testbed.exon_coverage_reads(spark, sf)
+
+
+@query("src_whitelist", "whitelist", "SELECT * FROM whitelist")
+def src_whitelist(spark, sf):
+    return testbed.whitelist(spark, sf)
