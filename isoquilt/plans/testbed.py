@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoquilt.functions import intervals, seq
+from isoquilt.session import stored
 
 # Library layout of the simulated protocol.
 ADAPTER = "CTACACGACGCTCTTCCGATCT"
@@ -102,7 +103,16 @@ _TAIL = (
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per simulated long read with its true layout."""
+    """One row per simulated long read with its true layout, written once per application."""
+    return stored(spark, f"reads:{sf_dir}", lambda: _build_reads(spark, sf_dir))
+
+
+def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment records of the reads, written once per application."""
+    return stored(spark, f"alignments:{sf_dir}", lambda: _build_alignments(spark, sf_dir))
+
+
+def _build_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spread(table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} as {n}" for n, e in _READ_COLS]))
     df = df.selectExpr("*", *[f"{e} as {n}" for n, e in _CELL_COLS])
     df = df.selectExpr("*", f"{_MOLECULE} as molecule_umi")
@@ -182,7 +192,7 @@ def gtf_exons(spark, sf_dir) -> DataFrame:
     )
 
 
-def alignments(spark, sf_dir) -> DataFrame:
+def _build_alignments(spark, sf_dir) -> DataFrame:
     """Alignment records (name, flag, chr, 0-based position, mapq, CIGAR, sequence)."""
     r = reads(spark, sf_dir)
     plus = F.col("strand") == "+"

@@ -1,5 +1,6 @@
 """Session helpers: lineage cuts in the shared checkpoint folder, dense codes, scans."""
 
+import hashlib
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compute_once(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns behind a generator, so that a later filter on them is evaluated on
+    the computed value instead of being pushed down as a second copy of the expression."""
+    made = F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
+    return df.select("*", F.inline(made))
+
+
+def stored(spark: SparkSession, key: str, build) -> DataFrame:
+    """Write ``build()`` once per application into the shared folder and read it back."""
+    name = hashlib.md5(key.encode()).hexdigest()[:12]
+    path = f"{checkpoint_dir(spark)}/isoquilt-{spark.sparkContext.applicationId}/{name}"
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scalar(df: DataFrame, column: Column) -> Column:
     """One aggregate over all of ``df`` as a scalar subquery (no one-partition window)."""
     return df.agg(column.alias("_scalar")).select("_scalar").scalar()
