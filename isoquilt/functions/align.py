@@ -7,6 +7,7 @@ the batch, so the Python cost per pair is a few microseconds.
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def letters(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +84,12 @@ def global_score_batch(a: pd.Series, b: pd.Series, match=1, mismatch=-1, gap=-1)
     return out
 
 
-@F.pandas_udf("struct<edit:int,pos:int>")
+@F.pandas_udf(T.StructType([T.StructField("edit", T.IntegerType()), T.StructField("pos", T.IntegerType())]))
 def infix_align(texts: pd.Series, patterns: pd.Series) -> pd.DataFrame:
     edit, pos = infix_batch(texts, patterns)
     return pd.DataFrame({"edit": edit, "pos": pos})
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def global_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(global_score_batch(a, b))

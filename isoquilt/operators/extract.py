@@ -81,11 +81,15 @@ def matched_site_share(sites: Column, annotated: Column, tolerance: int = 1) ->
 
     def step(acc, s):
         skip = F.greatest(acc["used"], F.size(F.filter(annotated, lambda a: a < s - tolerance)))
-        hit = F.coalesce(F.get(annotated, skip) <= s + tolerance, F.lit(False))
-        return F.struct(
-            F.when(hit, skip + 1).otherwise(acc["used"]).alias("used"),
-            (acc["hits"] + hit.cast("int")).alias("hits"),
-        )
+
+        def settle(k):
+            hit = F.coalesce(F.get(annotated, k) <= s + tolerance, F.lit(False))
+            return F.struct(
+                F.when(hit, k + 1).otherwise(acc["used"]).alias("used"),
+                (acc["hits"] + hit.cast("int")).alias("hits"),
+            )
+
+        return F.element_at(F.transform(F.array(skip), settle), 1)
 
     share = F.aggregate(sites, start, step, lambda acc: acc["hits"] / F.size(sites).cast("double"))
     return F.when(F.size(sites) > 0, share).otherwise(F.lit(-1.0))
