@@ -73,15 +73,38 @@ def clip_blocks(blocks: Column, start: Column, end: Column) -> Column:
     )
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def span_distance(a: Column, b: Column) -> Column:
     """Differing bases inside the span both isoforms cover; -1 if they share no span."""
-    start = F.greatest(F.element_at(a, 1)["s"], F.element_at(b, 1)["s"])
-    end = F.least(F.element_at(a, -1)["e"], F.element_at(b, -1)["e"])
-    ca, cb = clip_blocks(a, start, end), clip_blocks(b, start, end)
-    inside = total_length(ca) + total_length(cb) - 2 * common_bases(ca, cb)
-    return F.when(a == b, F.lit(0)).when(start >= end, F.lit(-1)).otherwise(inside).cast("bigint")
+
+    def inside(v):
+        return total_length(v["ca"]) + total_length(v["cb"]) - 2 * common_bases(v["ca"], v["cb"])
+
+    def measure(p):
+        clipped = F.struct(
+            clip_blocks(p["a"], p["st"], p["en"]).alias("ca"), clip_blocks(p["b"], p["st"], p["en"]).alias("cb")
+        )
+        return F.when(p["st"] >= p["en"], F.lit(-1).cast("bigint")).otherwise(let(clipped, inside))
+
+    def with_span(p):
+        span = F.struct(
+            p["a"].alias("a"),
+            p["b"].alias("b"),
+            F.greatest(F.get(p["a"], F.lit(0))["s"], F.get(p["b"], F.lit(0))["s"]).alias("st"),
+            F.least(F.element_at(p["a"], -1)["e"], F.element_at(p["b"], -1)["e"]).alias("en"),
+        )
+        return F.when(p["a"] == p["b"], F.lit(0).cast("bigint")).otherwise(let(span, measure))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), with_span)
 
 
 def full_distance(a: Column, b: Column) -> Column:
     """Differing bases without any clipping."""
-    return total_length(a) + total_length(b) - 2 * common_bases(a, b)
+    return let(
+        F.struct(a.alias("a"), b.alias("b")),
+        lambda p: total_length(p["a"]) + total_length(p["b"]) - 2 * common_bases(p["a"], p["b"]),
+    )
