@@ -83,9 +83,12 @@ def shortened(text: Column, lost: int) -> Column:
     return texts
 
 
-def close_pairs(nodes: DataFrame, cfg: UmiConfig = UmiConfig()) -> DataFrame:
+def close_pairs(nodes: DataFrame, cfg: UmiConfig = UmiConfig(), similar=None, keys_of=None) -> DataFrame:
     """Node pairs of a (gene, cell) whose UMI windows can reach the score threshold.
 
+    ``similar(a, b)`` and ``keys_of(text)`` may replace the test and the shortened
+    texts; similar texts must share a key.
+
     Small groups are compared directly.  In a large group two windows can only be
     similar enough if they agree after leaving out a few letters, so the pairs
     come from an equality join on those shortened texts; both ways find the same pairs.
@@ -104,14 +107,17 @@ def close_pairs(nodes: DataFrame, cfg: UmiConfig = UmiConfig()) -> DataFrame:
             F.col("n").alias("n" + tag),
         )
 
-    near = (F.col("a") < F.col("b")) & (F.levenshtein("umi_a", "umi_b", ops) >= 0)
-    direct = named(few, "a").join(named(few, "b"), KEYS).where(near)
+    if similar is None:
+        similar = lambda a, b: F.levenshtein(a, b, ops) >= 0
+        keys_of = lambda text: shortened(text, lost)
+    near = similar(F.col("umi_a"), F.col("umi_b"))
+    direct = named(few, "a").join(named(few, "b"), KEYS).where((F.col("a") < F.col("b")) & near)
     # The join runs on distinct windows; nodes that share a window are attached afterwards.
-    texts = many.select(*KEYS, "umi").distinct().withColumn("short", F.explode(shortened(F.col("umi"), lost)))
+    texts = many.select(*KEYS, "umi").distinct().withColumn("short", F.explode(keys_of(F.col("umi"))))
     left, right = texts.withColumnRenamed("umi", "umi_a"), texts.withColumnRenamed("umi", "umi_b")
     umi_pairs = (
         left.join(right, [*KEYS, "short"])
-        .where(F.levenshtein("umi_a", "umi_b", ops) >= 0)
+        .where(near)
         .select(*KEYS, "umi_a", "umi_b")
         .distinct()
     )
