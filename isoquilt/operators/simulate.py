@@ -1,0 +1,202 @@
+"""Seeded read simulator: every random draw is a hash of the row and a salt, so a
+simulation does not depend on partitioning or retries."""
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from isoquilt.functions import intervals, stats
+
+# Error model (match, substitution, insertion, deletion) of the simulated reads.
+TRANSITIONS = [
+    [0.94, 0.02, 0.02, 0.02],
+    [0.15, 0.35, 0.25, 0.25],
+    [0.15, 0.25, 0.35, 0.25],
+    [0.15, 0.25, 0.25, 0.35],
+]
+R1 = "CTACACGACGCTCTTCCGATCT"
+INTER = "TTTCTTATATGGG"
+
+
+def uniform(salt: str, *cols) -> Column:
+    """Uniform draw in (0, 1) from the row's key."""
+    return (F.pmod(F.xxhash64(F.lit(salt), *cols), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
+
+
+def _generator(seed: int) -> np.random.Generator:
+    return np.random.default_rng(int(seed) & 0xFFFFFFFFFFFFFFFF)
+
+
+def mutate(transitions=TRANSITIONS, start=None):
+    """Column function (text, seed) -> text with substitutions, insertions and deletions."""
+    step = np.cumsum(np.asarray(transitions), axis=1)
+    first = np.cumsum(np.asarray(start if start is not None else transitions[0]))
+
+    @F.pandas_udf(T.StringType())
+    def run(text: pd.Series, seed: pd.Series) -> pd.Series:
+        out = []
+        for s, key in zip(text, seed):
+            rng = _generator(key)
+            i, table, letters = 0, first, []
+            while i < len(s):
+                state = int(np.searchsorted(table, rng.random()))
+                table = step[min(state, 3)]
+                if state == 0:
+                    letters.append(s[i])
+                    i += 1
+                elif state == 1:
+                    letters.append("ACGT".replace(s[i], "")[rng.integers(3)])
+                    i += 1
+                elif state == 2:
+                    letters.append("ACGT"[rng.integers(4)])
+                else:
+                    i += 1
+            out.append("".join(letters))
+        return pd.Series(out)
+
+    return run
+
+
+def amplification(ratio: float = 20):
+    """Column function (gc percent, seed) -> number of copies, negative binomial, at least one."""
+
+    @F.pandas_udf(T.LongType())
+    def run(gc: pd.Series, seed: pd.Series) -> pd.Series:
+        out = []
+        for g, key in zip(gc, seed):
+            mean = ratio / (1 + np.exp(-0.5 * (g - 50))) + 2
+            size = mean**2 / (stats.mean2var(mean) - mean)
+            out.append(max(1, int(_generator(key).negative_binomial(size, size / (size + mean)))))
+        return pd.Series(out)
+
+    return run
+
+
+def isoform_share(alpha: float, beta: float):
+    """Column function (molecules, seed) -> molecules of the first isoform, beta-binomial."""
+
+    @F.pandas_udf(T.LongType())
+    def run(n: pd.Series, seed: pd.Series) -> pd.Series:
+        out = []
+        for count, key in zip(n, seed):
+            rng = _generator(key)
+            out.append(int(rng.binomial(count, rng.beta(alpha, beta))))
+        return pd.Series(out)
+
+    return run
+
+
+def geometric(u: Column, p: float) -> Column:
+    return F.floor(F.log(u) / F.log(F.lit(1 - p)))
+
+
+def truncate_isoform(isoform: Column, key: list, prob: float = 0.6, ratio: float = 0.05, salt: str = "cut") -> Column:
+    """Lose a geometric number of bases from the 5' end; NULL when nothing is left."""
+    lost = F.when(uniform(salt + "?", *key) < prob, geometric(uniform(salt, *key), ratio)).otherwise(F.lit(-1))
+
+    def cut(v):
+        lens = F.transform(v["b"], lambda x: x["e"] - x["s"])
+        ends = F.transform(
+            v["b"],
+            lambda x, i: F.aggregate(F.slice(lens, F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda acc, y: acc + y),
+        )
+        return F.filter(
+            F.transform(
+                v["b"],
+                lambda x, i: F.struct(
+                    F.when(
+                        (F.get(ends, i) > v["n"]) & (F.get(ends, i) - (x["e"] - x["s"]) <= v["n"]),
+                        x["e"] - (F.get(ends, i) - v["n"]) + 1,
+                    )
+                    .otherwise(x["s"])
+                    .alias("s"),
+                    x["e"].alias("e"),
+                    (F.get(ends, i) > v["n"]).alias("keep"),
+                ),
+            ),
+            lambda x: x["keep"],
+        )
+
+    made = intervals.let(F.struct(intervals.parse_blocks(isoform).alias("b"), lost.alias("n")), cut)
+    text = F.when(F.size(made) > 0, intervals.format_blocks(made))
+    return F.when(lost < 0, isoform).otherwise(text)
+
+
+def truncate_text(text: Column, key: list, prob: float = 0.6, ratio: float = 0.05, salt: str = "cut") -> Column:
+    """Lose a geometric number of letters from the front."""
+    lost = geometric(uniform(salt, *key), ratio).cast("int")
+    kept = F.substring(text, F.greatest(F.lit(1), lost), F.length(text))
+    return F.when(uniform(salt + "?", *key) < prob, kept).otherwise(text)
+
+
+def misplace(isoform: Column, key: list, prob: float = 0.3, max_len: int = 100, salt: str = "map") -> Column:
+    """Sometimes drop the last short block and let the next one start earlier by its length."""
+
+    def move(b):
+        short = F.array_max(
+            F.filter(F.sequence(F.lit(1), F.size(b)), lambda i: F.get(b, i - 1)["e"] - F.get(b, i - 1)["s"] <= max_len)
+        )
+        length = F.get(b, short - 1)["e"] - F.get(b, short - 1)["s"]
+        moved = F.filter(
+            F.transform(
+                b,
+                lambda x, i: F.struct(
+                    F.when(i == short, x["s"] - length).otherwise(x["s"]).alias("s"),
+                    x["e"].alias("e"),
+                    (i != short - 1).alias("keep"),
+                ),
+            ),
+            lambda x: x["keep"],
+        )
+        return F.when(short.isNotNull() & (short < F.size(b)), intervals.format_blocks(moved)).otherwise(
+            intervals.format_blocks(b)
+        )
+
+    return F.when(uniform(salt, *key) < prob, intervals.let(intervals.parse_blocks(isoform), move)).otherwise(isoform)
+
+
+def soft_clip(barcode: Column, umi: Column, toolkit: int = 5, r1: str = R1, inter: str = INTER) -> Column:
+    """Library layout around the barcode."""
+    if toolkit == 5:
+        return F.concat(F.lit(r1), barcode, umi, F.lit(inter))
+    if toolkit == 3:
+        return F.concat(umi, barcode, F.lit(inter))
+    raise ValueError("toolkit must be 5 or 3")
+
+
+def quality(text: Column, key: list) -> Column:
+    """Quality text of the read's length, drawn in blocks of 16 letters."""
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor(F.length(text) / 16).cast("int")),
+        lambda i: F.translate(F.substring(F.md5(F.concat_ws("-", *key, i)), 1, 16), "0123456789abcdef", "56789:;<=>?@ABCD"),
+    )
+    return F.left(F.array_join(blocks, ""), F.length(text))
+
+
+def simulate_reads(molecules: DataFrame, ratio: float = 20, transitions=TRANSITIONS, toolkit: int = 5) -> DataFrame:
+    """Molecules (barcode, umi, isoform, transcript, gc) -> amplified, mutated reads named after their truth."""
+    key = ["barcode", "umi", "isoform"]
+    copies = molecules.withColumn("copies", amplification(ratio)("gc", F.xxhash64(F.lit("pcr"), *key)))
+    each = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    body = F.concat(truncate_text(F.col("transcript"), key), F.lit("A" * 20))
+    clip = soft_clip(F.col("barcode"), F.col("umi"), toolkit)
+    text = F.concat(clip, body) if toolkit == 5 else F.concat(F.lit(R1), body, clip)
+    seed = F.xxhash64(F.lit("mutate"), *key, "copy")
+    made = each.withColumn("reads", mutate(transitions)(text, seed))
+    return made.select(
+        "barcode",
+        "umi",
+        "isoform",
+        "reads",
+        quality(F.col("reads"), [*key, "copy"]).alias("qual"),
+        F.concat(F.lit("@"), F.concat_ws("_", *key, "copy")).alias("read_name"),
+    )
+
+
+def expression_matrix(rows: DataFrame, isoforms: list) -> DataFrame:
+    """Per cell: molecules, reads, and both per isoform (wide over a given isoform list)."""
+    wide = [F.count(F.when(F.col("isoform") == i, 1)).alias(str(i)) for i in isoforms]
+    deep = [F.sum(F.when(F.col("isoform") == i, F.col("size")).otherwise(0)).alias(f"{i}-pcr") for i in isoforms]
+    return rows.groupBy("cell").agg(F.count("*").alias("exprs"), F.sum("size").alias("pcr"), *wide, *deep)

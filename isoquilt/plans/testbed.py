@@ -257,7 +257,16 @@ def splice_count(spark, sf_dir) -> DataFrame:
 def exon_coverage_reads(spark, sf_dir) -> DataFrame:
     """Reads in the older layout: exon ids and covered fraction per exon, joined by ``|``."""
     r = reads(spark, sf_dir)
-    cov = F.transform("kept", lambda i: F.when((i + F.col("ln")) % 5 == 0, F.lit(0.5)).otherwise(F.lit(1.0)))
+    # reads lose their last or first exon now and then
+    r = r.withColumn(
+        "kept",
+        F.filter(
+            "kept",
+            lambda i: (F.col("q") == 4)
+            | (((i < F.col("n_exon")) | (F.col("ln") % 3 != 0)) & ((i > 1) | (F.col("ln") % 4 != 0))),
+        ),
+    )
+    cov = F.transform("kept", lambda i: F.when((i + F.col("ln")) % 2 == 0, F.lit(0.5)).otherwise(F.lit(1.0)))
     return r.select(
         "read_name",
         "cell",
@@ -394,8 +403,9 @@ sql_table(
     "exon_coverage_reads",
     "reads",
     """SELECT read_name, cell, gene, molecule AS umi_group, umi, array_to_string(kept, '|') AS exon,
-        array_to_string(list_transform(kept, lambda i: CASE WHEN (i + ln) % 5 = 0 THEN '0.5' ELSE '1.0' END), '|')
+        array_to_string(list_transform(kept, lambda i: CASE WHEN (i + ln) % 2 = 0 THEN '0.5' ELSE '1.0' END), '|')
             AS coverage,
         blocks[1].s AS reads_s, blocks[-1].e AS reads_e, CASE WHEN rf = 'A' THEN 1.0 ELSE 0.0 END::double AS "polyA"
-       FROM reads""",
+       FROM (SELECT * REPLACE (list_filter(kept, lambda i: q = 4 OR ((i < n_exon OR ln % 3 <> 0) AND (i > 1 OR ln % 4 <> 0))) AS kept)
+             FROM reads)""",
 )
