@@ -149,7 +149,7 @@ def bm_window(spark, sf):
 @query(
     "bm_qnorm",
     "",
-    """SELECT min(l_quantity) AS lo, round(20 - 1.959963984540054 * 10, 6) AS low, round(20 + 1.959963984540054 * 10, 6) AS high
+    """SELECT min(l_quantity) AS lo, round(20 - 1.959963984540054::double * 10, 6) AS low, round(20 + 1.959963984540054::double * 10, 6) AS high
        FROM lineitem""",
 )
 def bm_qnorm(spark, sf):
@@ -174,7 +174,7 @@ def bm_dnorm(spark, sf):
 tb.sql_table(
     "matches",
     "reads",
-    """SELECT read_name, cell AS barcode, 17.4 + CASE WHEN d = 7 THEN q - 25 ELSE ln % 3 - 1 END AS start,
+    """SELECT read_name, cell AS barcode, (17.4 + CASE WHEN d = 7 THEN q - 25 ELSE ln % 3 - 1 END)::double AS start,
         cast(CASE WHEN d = 7 THEN 3 + ln % 3 WHEN d >= 8 OR cell_no % 16 = 5 THEN 2 WHEN d = 6 THEN 1 ELSE 0 END AS int)
         AS edit FROM reads""",
 )
