@@ -99,49 +99,52 @@ def _split_in_tasks(edges: DataFrame, keys: list, alpha: int, accept_ns: float)
     fields = [f for f in edges.schema.fields if f.name in keys]
     schema = T.StructType([*fields, T.StructField("id", T.LongType()), T.StructField("cluster", T.LongType())])
 
-    def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        ends = np.concatenate([frame["a"].to_numpy(), frame["b"].to_numpy()])
-        sizes = np.concatenate([frame["na"].to_numpy(), frame["nb"].to_numpy()])
+    def solve(held: dict, lo: int, hi: int, out: dict) -> None:
+        ends = np.concatenate([held["a"][lo:hi], held["b"][lo:hi]])
+        sizes = np.concatenate([held["na"][lo:hi], held["nb"][lo:hi]])
         ids, first, inverse = np.unique(ends, return_index=True, return_inverse=True)
-        half = len(frame)
-        edge_list = list(
-            zip(
-                inverse[:half].tolist(),
-                inverse[half:].tolist(),
-                frame["ns"].tolist(),
-                frame["capacity"].tolist(),
-            )
-        )
-        label = split_graph(ids.tolist(), sizes[first].tolist(), edge_list, alpha, accept_ns)
-        out = pd.DataFrame({"id": ids, "cluster": label})
-        for k in reversed(keys):
-            out.insert(0, k, frame[k].iloc[0])
-        return out
+        half = hi - lo
+        links = zip(inverse[:half].tolist(), inverse[half:].tolist(), held["ns"][lo:hi].tolist(), held["capacity"][lo:hi].tolist())
+        names = ids.tolist()
+        out["cluster"] += split_graph(names, sizes[first].tolist(), list(links), alpha, accept_ns)
+        out["id"] += names
+        for k in keys:
+            out[k] += [held[k][lo]] * len(names)
+
+    def solved(held: dict, bounds: list) -> pd.DataFrame:
+        out = {k: [] for k in [*keys, "id", "cluster"]}
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            solve(held, lo, hi, out)
+        return pd.DataFrame(out)
 
     def run(batches):
+        # a graph may continue in the next batch, so the last one of a batch waits
         held = None
         for batch in batches:
-            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            if held.empty:
+            new = {c: batch[c].to_numpy() for c in batch.columns}
+            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
+            rows = len(held["a"])
+            if not rows:
                 continue
-            new = np.zeros(len(held), dtype=bool)
-            new[0] = True
+            starts = np.zeros(rows, dtype=bool)
+            starts[0] = True
             for k in keys:
-                col = held[k].to_numpy()
-                new[1:] |= col[1:] != col[:-1]
-            starts = np.flatnonzero(new)
-            done = [solve(held.iloc[s:e]) for s, e in zip(starts[:-1], starts[1:])]
-            if done:
-                yield pd.concat(done, ignore_index=True)
-            held = held.iloc[starts[-1] :]
-        if held is not None and len(held):
-            yield solve(held)
+                starts[1:] |= held[k][1:] != held[k][:-1]
+            bounds = np.flatnonzero(starts).tolist()
+            if len(bounds) > 1:
+                yield solved(held, bounds)
+                held = {c: v[bounds[-1] :] for c, v in held.items()}
+        if held is not None and len(held["a"]):
+            yield solved(held, [0, len(held["a"])])
 
-    laid = edges.select(*keys, "a", "b", "na", "nb", "ns", "capacity").repartition(*keys).sortWithinPartitions(*keys)
+    # an explicit number keeps small graphs from being coalesced into a single Python task
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = edges.select(*keys, "a", "b", "na", "nb", "ns", "capacity").repartition(tasks, *keys)
+    laid = laid.sortWithinPartitions(*keys)
     return laid.mapInPandas(run, schema)
 
 
-def _communities(edges: DataFrame, keys: list, steps: int = 16) -> DataFrame:
+def _communities(edges: DataFrame, keys: list, steps: int = 12) -> DataFrame:
     """Communities of oversize components by synchronous moves (keys, id, comm).
 
     Each step every vertex of one alternating half moves to the neighbouring
@@ -198,6 +201,7 @@ def cluster_graphs(
     still larger are accepted or cut by distributed modularity moves until every
     piece is settled or small enough.
     """
+    edges = cut(edges)
     sizes = edges.groupBy(*keys).agg(F.count("*").alias("n_edges"))
     over = sizes.where(F.col("n_edges") > task_edges).select(*keys)
     small = _split_in_tasks(edges.join(over, keys, "left_anti"), keys, alpha, accept_ns)
