@@ -52,7 +52,8 @@ def variance_df(m, v, n):
     return 2 * n / (nbinom_kurtosis(m, v) - (n - 3) / (n - 1))
 
 
-_LGAMMA = np.vectorize(math.lgamma, otypes=[float])
+def _lgamma(a: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in a.ravel().tolist()]).reshape(a.shape)
 
 
 def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -63,7 +64,7 @@ def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     a = np.asarray(a, dtype=float)
     x = np.asarray(x, dtype=float)
     out = np.zeros_like(x)
-    scale = np.exp(-x + a * np.log(np.maximum(x, 1e-300)) - _LGAMMA(a)) if x.size else x
+    scale = np.exp(-x + a * np.log(np.maximum(x, 1e-300)) - _lgamma(a)) if x.size else x
     low = (x > 0) & (x < a + 1)
     if low.any():
         aa, xx = a[low], x[low]
