@@ -190,9 +190,9 @@ def _matches(spark, sf):
     )
 
 
-@query("bm_mean", "matches", "SELECT barcode, round(avg(start), 6) AS mu FROM matches GROUP BY barcode")
+@query("bm_mean", "matches", "SELECT barcode, round(avg(start), 8) AS mu FROM matches GROUP BY barcode")
 def bm_mean(spark, sf):
-    return _matches(spark, sf).groupBy("barcode").agg(F.round(F.avg("start"), 6).alias("mu"))
+    return _matches(spark, sf).groupBy("barcode").agg(F.round(F.avg("start"), 8).alias("mu"))
 
 
 @query("bm_var", "matches", "SELECT barcode, round(var_samp(start), 6) AS v FROM matches GROUP BY barcode")
@@ -214,11 +214,11 @@ def bm_sigma(spark, sf):
 @query(
     "bm_update_prob",
     "matches",
-    "SELECT barcode, round(sum(edit) / (16.0 * count(*)), 6) AS p FROM matches GROUP BY barcode",
+    "SELECT barcode, round(sum(edit) / (16.0::double * count(*)), 10) AS p FROM matches GROUP BY barcode",
 )
 def bm_update_prob(spark, sf):
     p = F.sum("edit") / (F.lit(float(CFG.barcode_len)) * F.count("*"))
-    return _matches(spark, sf).groupBy("barcode").agg(F.round(p, 6).alias("p"))
+    return _matches(spark, sf).groupBy("barcode").agg(F.round(p, 10).alias("p"))
 
 
 @query(

@@ -344,10 +344,10 @@ def ps_counts(spark, sf):
     return counts.select("gene", "cell", "exon", F.round("den", 6).alias("den"), F.round("num", 6).alias("num"))
 
 
-@query("ps_psi", "psi_table", "SELECT gene, cell, exon, round(psi, 6) AS psi FROM psi_table")
+@query("ps_psi", "psi_table", "SELECT gene, cell, exon, round(psi, 10) AS psi FROM psi_table")
 def ps_psi(spark, sf):
     out = psi.gene_psi(_exon_count(spark, sf), tb.gene_bed(spark, sf))
-    return out.withColumn("psi", F.round("psi", 6))
+    return out.withColumn("psi", F.round("psi", 10))
 
 
 @query(

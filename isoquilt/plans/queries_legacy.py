@@ -436,11 +436,11 @@ def snk_bam_subset(spark, sf):
 @query(
     "ev_psi",
     "splice_count",
-    """SELECT cell, gene, round(sum(CASE WHEN contains(isoform, '|1') THEN count ELSE 0 END) / sum(count), 6) AS psi FROM splice_count GROUP BY cell, gene""",
+    """SELECT cell, gene, round(sum(CASE WHEN contains(isoform, '|1') THEN count ELSE 0 END) / sum(count), 10) AS psi FROM splice_count GROUP BY cell, gene""",
 )
 def ev_psi(spark, sf):
     out = helpers.marker_psi(tb.splice_count(spark, sf), ["cell", "gene"], F.contains("isoform", F.lit("|1")), F.lit(True))
-    return out.withColumn("psi", F.round("psi", 6))
+    return out.withColumn("psi", F.round("psi", 10))
 
 
 def _judged(spark, sf):

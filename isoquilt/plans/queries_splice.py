@@ -284,14 +284,14 @@ def sz_pi(spark, sf):
     "sz_sub",
     "sized",
     """SELECT gene, size, count(*) AS copies, (sum(count(*)) OVER w)::bigint AS n,
-        round((sum(sum(size)) OVER w) / (sum(count(*)) OVER w), 6) AS mean
+        round((sum(sum(size)) OVER w) / (sum(count(*)) OVER w), 10) AS mean
        FROM sized GROUP BY gene, size WINDOW w AS (PARTITION BY gene ORDER BY size DESC)""",
 )
 def sz_sub(spark, sf):
     h = sizes.size_histogram(_sized(spark, sf), ["gene"])
     n = F.col("n_above") + F.col("copies")
     return h.select(
-        "gene", "size", "copies", n.alias("n"), F.round((F.col("sum_above") + F.col("copies") * F.col("size")) / n, 6).alias("mean")
+        "gene", "size", "copies", n.alias("n"), F.round((F.col("sum_above") + F.col("copies") * F.col("size")) / n, 10).alias("mean")
     )
 
 
