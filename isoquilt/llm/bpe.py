@@ -13,20 +13,24 @@ their ids; ties do not occur, as a text has one encoding; an empty table gives a
 result; repeated rows are each encoded; only the id and text columns are read.
 """
 
+import hashlib
 import json
 from functools import cache
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Encoded pieces that one worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Longer pieces are rarely seen twice.
 REMEMBER_CHARS = 64
+#: Documents handled at once.
+ROWS = 256
 NEVER = 1 << 62
 
 # Fixed value: the public pattern that splits a text before merging, white space spelt out.
@@ -119,7 +123,7 @@ class Encoder(dict):
                 for b, end_b in self._spine(right, 0)
                 if (rank := self.rank.get((a, b))) is not None
             )
-            if len(self.fits) >= 4 * REMEMBERED:
+            if len(self.fits) >= 2 * REMEMBERED:
                 self.fits.clear()
             self.fits[key] = known
         return known
@@ -200,14 +204,11 @@ class Decoder:
 
 
 @cache
-def _worker_vocabulary(key: str) -> tuple[Encoder, Decoder]:
+def _of_worker(key: str, kind: type):
+    """The encoder or decoder of a worker process, made once."""
     vocabulary = json.loads(key)
-    vocabulary = {
-        "tokens": {int(i): bytes.fromhex(t) for i, t in vocabulary["tokens"].items()},
-        "merges": vocabulary["merges"],
-        "added": vocabulary["added"],
-    }
-    return Encoder(vocabulary), Decoder(vocabulary)
+    vocabulary["tokens"] = {int(i): bytes.fromhex(t) for i, t in vocabulary["tokens"].items()}
+    return kind(vocabulary)
 
 
 def _shared(spark: SparkSession, path: str | None):
@@ -217,19 +218,32 @@ def _shared(spark: SparkSession, path: str | None):
     return spark.sparkContext.broadcast(json.dumps(vocabulary))
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids of each whole text as little-endian unsigned 32-bit integers."""
+def _mapped(docs: DataFrame, id_col: str, text_col: str, path: str | None, columns: str, row) -> DataFrame:
+    """``row(encoder, decoder, text)`` of every document, a few hundred at a time."""
     shared = _shared(docs.sparkSession, path)
     pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    names = [x.split()[0] for x in columns.split(", ")]
+
+    def run(batches):
+        encoder, decoder = _of_worker(shared.value, Encoder), _of_worker(shared.value, Decoder)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                made = zip(*[row(encoder, decoder, t) for t in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(list(x)) for x in made]], ["doc_id", *names])
+
     ids_type = pairs.schema["doc_id"].dataType.simpleString()
+    return pairs.mapInArrow(run, f"doc_id {ids_type}, {columns}")
 
-    def run(frames):
-        encoder = _worker_vocabulary(shared.value)[0]
-        for frame in frames:
-            ids = [encoder.encode(t) for t in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "n_tokens": [len(x) // 4 for x in ids], "ids": ids})
 
-    return pairs.mapInPandas(run, f"doc_id {ids_type}, n_tokens long, ids binary")
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, ids): ids of each whole text as little-endian unsigned 32-bit integers."""
+
+    def row(encoder, decoder, text):
+        ids = encoder.encode(text)
+        return len(ids) // 4, ids
+
+    return _mapped(docs, id_col, text_col, path, "n_tokens long, ids binary", row)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", path: str | None = None) -> DataFrame:
@@ -238,15 +252,22 @@ def decode(encoded: DataFrame, ids_col: str = "ids", path: str | None = None) ->
 
     @F.pandas_udf("string")
     def run(ids: pd.Series) -> pd.Series:
-        decoder = _worker_vocabulary(shared.value)[1]
+        decoder = _of_worker(shared.value, Decoder)
         return pd.Series([decoder.decode(x) for x in ids], dtype=object)
 
     return encoded.withColumn("decoded", run(F.col(ids_col)))
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document the token count and the digests of its ids and of the text they decode to."""
-    done = decode(encode(docs, path=path), path=path)
-    return done.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    """Per document the token count and the digests of its ids and of the text they decode to.
+
+    Both directions run in one pass, so neither ids nor texts travel back to Spark.
+    """
+
+    def row(encoder, decoder, text):
+        ids = encoder.encode(text)
+        back = decoder.decode(ids).encode()
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()
+
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _mapped(docs, "doc_id", "text", path, columns, row)
