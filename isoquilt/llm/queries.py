@@ -1,6 +1,6 @@
 """One query for each operator, over its whole table, with production parameters."""
 
-from isoquilt.llm import archive, bpe, mixing, simhash, url_filter
+from isoquilt.llm import archive, bpe, mixing, simhash, url_filter, vafile, vptree
 from isoquilt.llm.registry import query, table
 
 # The listed urls of the filter.
@@ -47,6 +47,22 @@ SELECT page_id, payload_bytes,
 FROM hashed JOIN firsts USING (hex)
 """
 
+_TOP_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 @query("op3_mixing")
 def _op3(spark, sf_dir):
@@ -58,6 +74,11 @@ def _op5(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.listed_entries(spark, URL_RULES))
 
 
+@query("op6_vptree")
+def _op6(spark, sf_dir):
+    return vptree.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_bpe")
 def _op7(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
@@ -68,6 +89,11 @@ def _op8(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op9_vafile", _TOP_SQL)
+def _op9(spark, sf_dir):
+    return vafile.best(table(spark, sf_dir, "embeddings"))
+
+
 @query("op10_archive", _ARCHIVE_SQL)
 def _op10(spark, sf_dir):
     return archive.archived(table(spark, sf_dir, "pages"))
