@@ -1,6 +1,6 @@
 """One query for each operator, over its whole table, with production parameters."""
 
-from isoquilt.llm import archive, bpe, mixing, simhash, url_filter, vafile, vptree
+from isoquilt.llm import archive, bpe, language, mixing, simhash, url_filter, vafile, vptree
 from isoquilt.llm.registry import query, table
 
 # The listed urls of the filter.
@@ -69,6 +69,11 @@ def _op3(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+@query("op4_language")
+def _op4(spark, sf_dir):
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 @query("op5_url_filter", _URL_SQL)
 def _op5(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.listed_entries(spark, URL_RULES))
