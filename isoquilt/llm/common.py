@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 #: A side of a join is broadcast up to this many rows; beyond, the join shuffles.
 BROADCAST_ROWS = 100_000
 
-#: Fixed value: white space that separates words, as a pattern of what is inside words.
+#: What words are made of, and the white space between them, as patterns.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def small_side(small: DataFrame, rows: int) -> DataFrame:
@@ -16,5 +17,10 @@ def small_side(small: DataFrame, rows: int) -> DataFrame:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words of a text, 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Number of words of a text, 0 for null.
+
+    Counts the single spaces left between words, which needs no array of all words.
+    """
+    spaced = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
+    gaps = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit("")))
+    return (gaps + (spaced != "").cast("int")).cast("long")
