@@ -246,7 +246,8 @@ def thresholds(model: Boosted, cells: list[dict], precision: float = PRECISION)
         least, n, p = math.inf, 0, 0
         for margin in sorted(by_margin, reverse=True):
             n, p = n + by_margin[margin][0], p + by_margin[margin][1]
-            if n >= LEAST_SEEN and p >= precision * n:
+            # a single combination must also be more likely right than wrong
+            if n >= LEAST_SEEN and p >= precision * n and margin >= 0:
                 least = margin - 1e-6
         out.append(least)
     return out

@@ -1,6 +1,6 @@
 """One query for each operator, over its whole table, with production parameters."""
 
-from isoquilt.llm import archive, bpe, language, mixing, pii, simhash, url_filter, vafile, vptree
+from isoquilt.llm import archive, bpe, language, lines, mixing, pii, simhash, url_filter, vafile, vptree
 from isoquilt.llm.registry import query, table
 
 # The listed urls of the filter.
@@ -64,6 +64,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
 
+@query("op1_lines")
+def _op1(spark, sf_dir):
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 @query("op2_pii")
 def _op2(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
