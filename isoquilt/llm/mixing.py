@@ -142,7 +142,7 @@ def mix(
     length = F.lit(repeats) * F.col("shard_size")
     count = F.ceil(length / block_words)
     rows = rows.withColumn("_count", count).withColumn("_quota", F.least("quota", count))
-    first = F.coalesce(F.pmod(F.xxhash64("source_rank", "shard", F.lit(seed)), F.col("_count")), F.lit(0))
+    first = F.pmod(F.xxhash64("source_rank", "shard", F.lit(seed)), F.greatest(F.lit(1), F.col("_count")))
     rows = rows.withColumn("_first", first).withColumn("_last", F.col("_first") + F.col("_quota"))
     runs = [
         (F.col("_first") * block_words, F.least(F.col("_last") * block_words, length)),
