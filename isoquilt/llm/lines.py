@@ -219,17 +219,18 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     several = different.select("h1", "h2", "pos", "copies").join(near, ["h1", "h2"], "left")
     several = several.where("copies > 1 or near")
     # a line that goes altogether has no place that stays
-    several = cut(several.select("h1", "h2", F.when(F.col("near").isNull(), F.col("pos")).alias("stays")))
+    several = several.select("h1", "h2", F.when(F.col("near").isNull(), F.col("pos")).alias("stays"))
     each = lines_of(source).select("doc_id", "line", "h1", "h2", "pos")
-    gone = each.join(small_side(several, several.count()), ["h1", "h2"]).where("stays is null or pos <> stays")
+    gone = each.join(several, ["h1", "h2"]).where("stays is null or pos <> stays")
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
 def _applied(docs: DataFrame) -> DataFrame:
     """(row, text, gone): each row of ``docs`` as one value, what is left of its text, how many lines went."""
-    gone = cut(dropped_lines(docs))
+    # what goes grows with the table, so texts and line numbers meet by a shuffle at every size
+    gone = dropped_lines(docs)
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    both = rows.join(small_side(gone, gone.count()), F.col("row.doc_id").eqNullSafe(F.col("doc_id")), "left")
+    both = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")), "left")
     lines = F.split("row.text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("lines"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
