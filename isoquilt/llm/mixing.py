@@ -172,12 +172,15 @@ def mixed(docs: DataFrame) -> DataFrame:
     A document at the end of a run of blocks comes with only the words inside the run.
     """
     own = ["doc_id", "source", "text"]
-    packed = docs.select(*own, F.struct(*docs.columns).alias("row"), word_count(F.col("text")).alias("size"))
-    used = mix(packed, sizes=packed.select("doc_id", "source", "size")).select("*", F.explode("parts").alias("part"))
+    size = word_count(F.col("text")).alias("size")
+    # sizes are worked out once; a text travels once, next to the row's other columns
+    sizes = cut(docs.select("doc_id", "source", size))
+    others = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c not in own]).alias("row")
+    used = mix(docs.select(*own, others, size), sizes=sizes).select(*own, "row", "size", F.explode("parts").alias("part"))
     # word k with the white space that follows it
     words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    piece = F.array_join(F.slice(words, F.col("part.from").cast("int") + 1, (F.col("part.to") - F.col("part.from")).cast("int")), "")
-    whole = (F.col("part.from") == 0) & (F.col("part.to") == F.col("size"))
-    used = used.withColumn("text", F.when(whole, F.col("text")).otherwise(piece))
-    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return used.select(*[changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    first, count = F.col("part.from").cast("int"), (F.col("part.to") - F.col("part.from")).cast("int")
+    whole = (first == 0) & (count == F.col("size"))
+    used = used.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(F.slice(words, first + 1, count), "")))
+    made = {c: F.col(c) for c in own} | {"n_chars": F.length("text").cast("long")}
+    return used.select(*[made.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
