@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 from isoquilt.functions.communities import split_graph
 from isoquilt.session import cut
 
-ROUNDS = 60
-
 
 def _fingerprint(edges: DataFrame, keys: list):
     mixed = F.sum(F.xxhash64(*keys, "a", "b").cast("decimal(38,0)"))
@@ -31,7 +29,7 @@ def connected_components(edges: DataFrame, keys: list) -> DataFrame:
     """
     e = cut(edges.where("a <> b").select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = _fingerprint(e, keys)
-    for _ in range(ROUNDS):
+    while True:
         both = e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(*keys, "a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.where("b > a").join(low, [*keys, "a"]).select(*keys, F.col("b").alias("a"), F.col("m").alias("b"))
@@ -44,8 +42,6 @@ def connected_components(edges: DataFrame, keys: list) -> DataFrame:
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     leaves = e.select(*keys, F.col("a").alias("id"), F.col("b").alias("component"))
     roots = e.select(*keys, F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return leaves.unionByName(roots)

@@ -5,6 +5,7 @@ patterns are worked out once per distinct exon text of a gene; cells enter only
 as sums over those patterns.
 """
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,36 +82,45 @@ def combined_flags(flags: DataFrame, anno: DataFrame | None = None) -> DataFrame
 
 
 def exon_modules(flags: DataFrame) -> DataFrame:
-    """Greedy groups of mutually mergeable exons per gene (gene, exon, module, first).
+    """Disjoint groups of mutually mergeable exons per gene (gene, exon, module, first).
 
-    One task sees the exon pairs of one gene, whose number the annotation bounds.
+    A gene's exons are a bit set each: the exons they merge with, themselves included.  The exon with
+    the most partners opens a group; its partners are peeled, weakest first, until
+    those left are all partners of each other.  One task sees the exon pairs of one gene, whose
+    number the annotation bounds.
     """
 
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        exons = sorted(set(pdf["a"]) | set(pdf["b"]))
-        linked = {e: {e} for e in exons}
-        for a, b, flag in zip(pdf["a"], pdf["b"], pdf["flag"]):
-            if flag == 1:
-                linked[a].add(b)
-                linked[b].add(a)
-        left = sorted(exons, key=lambda e: -len(linked[e]))
-        rows = []
-        while left:
-            group = [e for e in left if e in linked[left[0]]]
-            while True:
-                inner = {e: len(linked[e] & set(group)) for e in group}
-                if all(n == len(group) for n in inner.values()):
-                    break
-                group.remove(min(group, key=lambda e: inner[e]))
-            name = "|".join(str(e) for e in group)
-            rows += [(e, name, group[0]) for e in group]
-            left = [e for e in left if e not in group]
+    def peel(partners: dict, members: int) -> int:
+        while True:
+            inside = {e: (partners[e] & members).bit_count() for e in partners if members >> e & 1}
+            weakest = min(inside, key=inside.get)
+            if inside[weakest] == len(inside):
+                return members
+            members &= ~(1 << weakest)
+
+    def groups(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = np.unique(pdf[["a", "b"]].to_numpy())
+        place = {e: i for i, e in enumerate(names.tolist())}
+        partners = {i: 1 << i for i in place.values()}
+        for a, b in pdf.loc[pdf["flag"] == 1, ["a", "b"]].itertuples(index=False):
+            partners[place[a]] |= 1 << place[b]
+            partners[place[b]] |= 1 << place[a]
+        # ties of size are settled by the exon's number, ties of weakness by the order of opening
+        order = sorted(partners, key=lambda e: (-partners[e].bit_count(), e))
+        partners = {e: partners[e] for e in order}
+        free, rows = (1 << len(order)) - 1, []
+        while free:
+            opener = next(e for e in order if free >> e & 1)
+            group = peel(partners, partners[opener] & free)
+            members = [names[e] for e in order if group >> e & 1]
+            rows += [(e, "|".join(map(str, members)), members[0]) for e in members]
+            free &= ~group
         out = pd.DataFrame(rows, columns=["exon", "module", "first"])
         out.insert(0, "gene", pdf["gene"].iloc[0])
         return out
 
     return flags.select("gene", "a", "b", "flag").groupBy("gene").applyInPandas(
-        greedy, "gene string, exon bigint, module string, first bigint"
+        groups, "gene string, exon bigint, module string, first bigint"
     )
 
 

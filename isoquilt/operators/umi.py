@@ -83,11 +83,11 @@ def shortened(text: Column, lost: int) -> Column:
     return texts
 
 
-def close_pairs(nodes: DataFrame, cfg: UmiConfig = UmiConfig(), similar=None, keys_of=None) -> DataFrame:
+def close_pairs(nodes: DataFrame, cfg: UmiConfig = UmiConfig(), measure=None, most=None, keys_of=None) -> DataFrame:
     """Node pairs of a (gene, cell) whose UMI windows can reach the score threshold.
 
-    ``similar(a, b)`` and ``keys_of(text)`` may replace the test and the shortened
-    texts; similar texts must share a key.
+    ``measure(a, b)``, its largest value ``most`` and ``keys_of(text)`` may replace the test and the
+    shortened texts; texts within the bound must share a key.  The value is kept as ``measure``.
 
     Small groups are compared directly.  In a large group two windows can only be
     similar enough if they agree after leaving out a few letters, so the pairs
@@ -107,20 +107,19 @@ def close_pairs(nodes: DataFrame, cfg: UmiConfig = UmiConfig(), similar=None, ke
             F.col("n").alias("n" + tag),
         )
 
-    if similar is None:
-        similar = lambda a, b: F.levenshtein(a, b, ops) >= 0
+    if measure is None:
+        measure, most = lambda a, b: F.levenshtein(a, b, ops), ops
         keys_of = lambda text: shortened(text, lost)
-    near = similar(F.col("umi_a"), F.col("umi_b"))
-    direct = named(few, "a").join(named(few, "b"), KEYS).where((F.col("a") < F.col("b")) & near)
+
+    def near(pairs):
+        measured = compute_once(pairs, measure=measure(F.col("umi_a"), F.col("umi_b")))
+        return measured.where(F.col("measure").between(0, most))
+
+    direct = near(named(few, "a").join(named(few, "b"), KEYS).where("a < b"))
     # The join runs on distinct windows; nodes that share a window are attached afterwards.
     texts = many.select(*KEYS, "umi").distinct().withColumn("short", F.explode(keys_of(F.col("umi"))))
     left, right = texts.withColumnRenamed("umi", "umi_a"), texts.withColumnRenamed("umi", "umi_b")
-    umi_pairs = (
-        left.join(right, [*KEYS, "short"])
-        .where(near)
-        .select(*KEYS, "umi_a", "umi_b")
-        .distinct()
-    )
+    umi_pairs = near(left.join(right, [*KEYS, "short"]).select(*KEYS, "umi_a", "umi_b").distinct())
     joined = (
         umi_pairs.join(named(many, "a"), [*KEYS, "umi_a"]).join(named(many, "b"), [*KEYS, "umi_b"]).where("a < b")
     )
@@ -138,8 +137,11 @@ def similar_edges(nodes: DataFrame, cfg: UmiConfig = UmiConfig()) -> DataFrame:
     )
     measured = compute_once(pairs, dis=F.when(F.col("iso_a") == F.col("iso_b"), F.lit(0)).otherwise(distance))
     fits = F.col("dis").between(0, cfg.iso_thresh)
-    scored = measured.where(fits).withColumn("score", global_score("umi_a", "umi_b"))
-    between = scored.where(F.col("score") >= cfg.sim_thresh).select(
+    fitting = measured.where(fits)
+    # many isoforms share a window, so a score is worked out once for each pair of windows
+    windows = fitting.select("umi_a", "umi_b").distinct()
+    scores = compute_once(windows, score=global_score("umi_a", "umi_b")).where(F.col("score") >= cfg.sim_thresh)
+    between = fitting.join(scores, ["umi_a", "umi_b"]).select(
         *KEYS, "a", "b", "na", "nb", "score", (F.col("na") * F.col("nb")).alias("capacity")
     )
     itself = nodes.where("n > 1").select(

@@ -115,7 +115,7 @@ def bm_semiglobal(spark, sf):
 
 @query("bm_traceback")
 def bm_traceback(spark, sf):
-    r = _softclips(spark, sf).join(tb.reads(spark, sf).select("read_name", "cell"), "read_name")
+    r = tb.reads(spark, sf).select("read_name", "cell", F.col("clip").alias("seq"))
     return r.select("read_name", infix_align("seq", "cell").alias("h")).select("read_name", "h.edit", "h.pos")
 
 
@@ -135,30 +135,11 @@ def bm_adaptive(spark, sf):
     return bc.match_barcodes(_softclips(spark, sf), tb.whitelist(spark, sf), CFG)
 
 
-@query("bm_parallel")
-def bm_parallel(spark, sf):
-    return bm_adaptive(spark, sf).groupBy("barcode").agg(F.count("*").alias("reads"), F.avg("edit").alias("edit"))
-
-
 @query("bm_window", "windows", "SELECT read_name, seq FROM windows")
 def bm_window(spark, sf):
     return bc.search_window(_softclips(spark, sf), CFG.mu, CFG.sigma, CFG)
 
 
-# quantiles of N(20, 10) at 2.5 % and 97.5 %
-@query(
-    "bm_qnorm",
-    "",
-    """SELECT min(l_quantity) AS lo, round(20 - 1.959963984540054::double * 10, 6) AS low, round(20 + 1.959963984540054::double * 10, 6) AS high
-       FROM lineitem""",
-)
-def bm_qnorm(spark, sf):
-    low, high = stats.qnorm(0.025, 20.0, 10.0), stats.qnorm(0.975, 20.0, 10.0)
-    return tb.table(spark, sf, "lineitem").agg(
-        F.min("l_quantity").alias("lo"), F.lit(round(low, 6)).alias("low"), F.lit(round(high, 6)).alias("high")
-    )
-
-
 @query(
     "bm_dnorm",
     "",

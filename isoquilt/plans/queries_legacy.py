@@ -1,10 +1,10 @@
-"""Older de-duplication variants, helper analytics, simulation, evaluation."""
+"""Older de-duplication variants, helper analytics, evaluation."""
 
 from pyspark.sql import functions as F
 
 from isoquilt.config import UmiConfig
 from isoquilt.functions import intervals, seq, stats
-from isoquilt.operators import barcode, helpers, legacy, simulate, sizes, umi
+from isoquilt.operators import helpers, legacy, sizes, umi
 from isoquilt.plans import testbed as tb
 from isoquilt.plans.queries_barcode import _matches, _softclips
 from isoquilt.plans.queries_splice import _sized
@@ -329,12 +329,6 @@ def sm_gc(spark, sf):
     return tb.reads(spark, sf).select("read_name", F.round(seq.gc_percent(F.col("clip")), 6).alias("gc"))
 
 
-@query("sm_softclips", "reads", "SELECT read_name, concat('CTACACGACGCTCTTCCGATCT', cell, molecule_umi, 'TTTCTTATATGGG') AS five, concat(molecule_umi, cell, 'TTTCTTATATGGG') AS three FROM reads")
-def sm_softclips(spark, sf):
-    c, u = F.col("cell"), F.col("molecule_umi")
-    return tb.reads(spark, sf).select("read_name", simulate.soft_clip(c, u, 5).alias("five"), simulate.soft_clip(c, u, 3).alias("three"))
-
-
 @query(
     "sm_matrix",
     "voting",
@@ -344,73 +338,7 @@ def sm_softclips(spark, sf):
 def sm_matrix(spark, sf):
     v = tb.reads(spark, sf).groupBy("gene", "cell", "molecule", "isoform").agg(F.count("*").alias("size"))
     rows = v.select("cell", F.col("molecule").alias("isoform"), "size")
-    return simulate.expression_matrix(rows, [0, 1])
-
-
-def _seed(salt):
-    return F.xxhash64(F.lit(salt), "read_name")
-
-
-@query("sm_mutate")
-def sm_mutate(spark, sf):
-    return tb.reads(spark, sf).select("read_name", simulate.mutate()("clip", _seed("mutate")).alias("seq"))
-
-
-@query("sm_pcr")
-def sm_pcr(spark, sf):
-    return tb.reads(spark, sf).select("read_name", simulate.amplification(20)(seq.gc_percent(F.col("clip")), _seed("pcr")).alias("copies"))
-
-
-@query("sm_truncate")
-def sm_truncate(spark, sf):
-    return tb.reads(spark, sf).select("read_name", simulate.truncate_isoform(F.col("isoform"), [F.col("read_name")]).alias("isoform"))
-
-
-@query("sm_iso_sample")
-def sm_iso_sample(spark, sf):
-    cells = tb.reads(spark, sf).groupBy("gene", "cell").agg(F.count("*").alias("n"))
-    return cells.withColumn("first_isoform", simulate.isoform_share(0.5, 0.5)("n", F.xxhash64("gene", "cell")))
-
-
-@query("sm_wrong_map")
-def sm_wrong_map(spark, sf):
-    return tb.reads(spark, sf).select("read_name", simulate.misplace(F.col("isoform"), [F.col("read_name")]).alias("isoform"))
-
-
-def _simulated(spark, sf):
-    molecules = tb.reads(spark, sf).groupBy(F.col("cell").alias("barcode"), F.col("molecule_umi").alias("umi"), F.col("gene").alias("isoform")).agg(
-        F.min("n_exon").alias("n")
-    )
-    molecules = molecules.withColumn("transcript", F.repeat(F.md5("isoform"), F.col("n").cast("int"))).withColumn(
-        "transcript", F.translate("transcript", "0123456789abcdef", "ACGTACGTACGTACGT")
-    ).withColumn("gc", F.when(F.col("n") % 2 == 0, F.lit(45.0)).otherwise(F.lit(55.0)))
-    return stored(spark, f"simulated:{sf}", lambda: simulate.simulate_reads(molecules, 6))
-
-
-@query("sm_reads")
-def sm_reads(spark, sf):
-    return _simulated(spark, sf).select("barcode", "umi", "isoform", "read_name", F.length("reads").alias("len"))
-
-
-@query("sm_amplify")
-def sm_amplify(spark, sf):
-    return _simulated(spark, sf).groupBy("barcode", "umi", "isoform").agg(F.count("*").alias("copies"))
-
-
-@query("sm_qual", "reads", "SELECT read_name, length(clip)::int AS n FROM reads")
-def sm_qual(spark, sf):
-    return tb.reads(spark, sf).select("read_name", F.length(simulate.quality(F.col("clip"), [F.col("read_name")])).alias("n"))
-
-
-@query("sm_tx")
-def sm_tx(spark, sf):
-    return tb.reads(spark, sf).select("read_name", simulate.truncate_text(F.col("clip"), [F.col("read_name")]).alias("seq"))
-
-
-@query("sm_simulate")
-def sm_simulate(spark, sf):
-    sim = _simulated(spark, sf).select("read_name", seq.last_bases(F.left("reads", F.lit(61)), 55).alias("seq"))
-    return barcode.match_barcodes(sim, tb.whitelist(spark, sf))
+    return helpers.expression_matrix(rows, [0, 1])
 
 
 @query("snk_fastq", "reads", "SELECT read_name AS name, concat('@', read_name, chr(10), clip, chr(10), '+', chr(10), repeat('I', length(clip))) AS value FROM reads")

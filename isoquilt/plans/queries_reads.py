@@ -45,6 +45,12 @@ def src_softclip(spark, sf):
     return readers.parse_softclips(tb.reads(spark, sf).select(F.concat_ws("\t", "read_name", "clip").alias("value")))
 
 
+@query("src_whitelist", "whitelist", "SELECT * FROM whitelist")
+def src_whitelist(spark, sf):
+    lines = tb.whitelist(spark, sf).select(F.concat(F.lit(" "), "barcode").alias("value"))
+    return readers.parse_whitelist(lines)
+
+
 @query("src_whitelist_lines", "whitelist", "SELECT * FROM whitelist")
 def src_whitelist_lines(spark, sf):
     return readers.parse_whitelist(tb.whitelist(spark, sf).select(F.concat("barcode", F.lit(" ")).alias("value")))

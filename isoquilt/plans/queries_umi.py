@@ -236,20 +236,6 @@ def um_graph_table(spark, sf):
     return edges.groupBy("gene", "cell").agg(F.count("*").alias("edges"), F.sum("ns").alias("ns"))
 
 
-@query("um_memo", "umi_pairs", "SELECT count(*) AS pairs FROM (SELECT DISTINCT ua, ub FROM umi_pairs WHERE levenshtein(ua, ub) <= 4)")
-def um_memo(spark, sf):
-    nodes = _nodes(spark, sf)
-    distance = intervals.span_distance(intervals.parse_blocks(F.col("iso_a")), intervals.parse_blocks(F.col("iso_b")))
-    pairs = compute_once(umi.close_pairs(nodes, CFG), dis=distance)
-    fits = F.col("dis").between(0, CFG.iso_thresh)
-    first = F.concat_ws("/", "umi_a", "iso_a") < F.concat_ws("/", "umi_b", "iso_b")
-    ordered = pairs.where(fits).select(
-        F.when(first, F.col("umi_a")).otherwise(F.col("umi_b")).alias("x"),
-        F.when(first, F.col("umi_b")).otherwise(F.col("umi_a")).alias("y"),
-    )
-    return ordered.distinct().agg(F.count("*").alias("pairs"))
-
-
 tb.sql_table(
     "umi_share",
     "umi_edges",

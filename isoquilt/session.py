@@ -1,6 +1,8 @@
 """Session helpers: lineage cuts in the shared checkpoint folder, dense codes, scans."""
 
+import atexit
 import hashlib
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +13,8 @@ from pyspark.sql import Window as W
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, laptops) a local folder is made.
+    On one machine (a ``local`` master) a temporary folder stands in where none is named;
+    on a cluster that would scatter the parts over the machines, so it is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -19,7 +22,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     folder = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all of {sc.master} shares")
         folder = tempfile.mkdtemp(prefix="isoquilt-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return folder
 

@@ -1,5 +1,6 @@
 """Hand-computed fixtures for scalar and array functions, and brute-force checks of alignment."""
 
+import functools
 import math
 import random
 
@@ -76,37 +77,51 @@ def test_infix_fixtures():
     assert pos.tolist() == [23, 23, 24]
 
 
-def _infix_brute(text, pattern):
-    m, n = len(pattern), len(text)
-    dp = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(m + 1):
-        dp[i][0] = i
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            if pattern[i - 1] == text[j - 1]:
-                dp[i][j] = dp[i - 1][j - 1]
-            else:
-                dp[i][j] = 1 + min(dp[i - 1][j], dp[i][j - 1], dp[i - 1][j - 1])
-    pos = min(range(n + 1), key=lambda j: (dp[m][j], j))
-    edit, row = dp[m][pos], m
-    while row > 1 and pos > 0:
-        least = min(dp[row][pos - 1], dp[row - 1][pos], dp[row - 1][pos - 1])
-        if dp[row - 1][pos] == least:
-            row -= 1
-        elif dp[row - 1][pos - 1] == least:
-            row, pos = row - 1, pos - 1
-        else:
-            pos -= 1
-    return edit, pos
-
-
-def test_infix_matches_brute_force():
+def _distance(a, b):
+    """Edit distance by trying every first step, remembered by suffix lengths."""
+
+    @functools.cache
+    def least(i, j):
+        if i == len(a) or j == len(b):
+            return len(a) - i + len(b) - j
+        if a[i] == b[j]:
+            return least(i + 1, j + 1)
+        return 1 + min(least(i + 1, j), least(i, j + 1), least(i + 1, j + 1))
+
+    return least(0, 0)
+
+
+def test_infix_edit_is_the_best_of_all_placements():
+    """The distance is the least over every substring; the position lies inside a best placement."""
     rng = random.Random(5)
-    texts = ["".join(rng.choice("ACGT") for _ in range(rng.randint(30, 60))) for _ in range(300)]
-    pats = [t[7:23] if i % 2 else "".join(rng.choice("ACGT") for _ in range(16)) for i, t in enumerate(texts)]
-    edit, pos = align.infix_batch(pd.Series(texts), pd.Series(pats))
-    for t, p, e, q in zip(texts, pats, edit, pos):
-        assert (e, q) == _infix_brute(t, p)
+    for i in range(60):
+        text = "".join(rng.choice("ACGT") for _ in range(rng.randint(12, 20)))
+        pattern = text[4:12] if i % 2 else "".join(rng.choice("ACGT") for _ in range(8))
+        pattern = pattern[:3] + rng.choice("ACGT") + pattern[4:]
+        found = {}
+        for start in range(len(text) + 1):
+            for stop in range(start, min(len(text), start + 16) + 1):
+                found.setdefault(_distance(pattern, text[start:stop]), []).append((start, stop))
+        edit, pos = align.infix_batch(pd.Series([text]), pd.Series([pattern]))
+        assert edit[0] == min(found)
+        starts, stops = zip(*found[min(found)])
+        assert min(starts) <= pos[0] <= max(stops)
+
+
+# worked by hand: (text, pattern, edits, column at which the first pattern letter is left)
+@pytest.mark.parametrize(
+    "text, pattern, edit, pos",
+    [
+        ("AACGTA", "CGT", 0, 3),  # exact, begins at the third letter
+        ("CGTACGT", "CGT", 0, 1),  # of two exact placements the first
+        ("TTTT", "CGC", 3, 0),  # nothing fits: the empty placement at the left end
+        ("AACTA", "CGT", 1, 3),  # one pattern letter without a partner
+        ("AACAGTA", "CGT", 1, 5),  # of equal ways the one that leaves the pattern's first letter out
+    ],
+)
+def test_infix_by_hand(text, pattern, edit, pos):
+    got = align.infix_batch(pd.Series([text]), pd.Series([pattern]))
+    assert (got[0][0], got[1][0]) == (edit, pos)
 
 
 def test_global_score():
