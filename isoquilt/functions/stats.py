@@ -52,19 +52,33 @@ def variance_df(m, v, n):
     return 2 * n / (nbinom_kurtosis(m, v) - (n - 3) / (n - 1))
 
 
-def _lgamma(a: np.ndarray) -> np.ndarray:
-    return np.array([math.lgamma(v) for v in a.ravel().tolist()]).reshape(a.shape)
+# Coefficients of the asymptotic series of the log-gamma function.
+STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360, 1 / 156)
 
 
-def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+def log_gamma(a) -> np.ndarray:
+    """Log-gamma of positive numbers: moved above 10, then the asymptotic series."""
+    a = np.asarray(a, dtype=float)
+    lift = np.ones_like(a)
+    x = a.copy()
+    while np.any(x < 10):
+        small = x < 10
+        lift = np.where(small, lift * x, lift)
+        x = np.where(small, x + 1, x)
+    tail = sum(c / x ** (2 * k + 1) for k, c in enumerate(STIRLING))
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + tail - np.log(lift)
+
+
+def gamma_p(a: np.ndarray, x: np.ndarray, log_a: np.ndarray | None = None) -> np.ndarray:
     """Regularised lower incomplete gamma function, elementwise.
 
-    Power series below a + 1, continued fraction above.
+    Power series below a + 1, continued fraction above.  ``log_a`` is log-gamma of ``a`` where known.
     """
     a = np.asarray(a, dtype=float)
     x = np.asarray(x, dtype=float)
     out = np.zeros_like(x)
-    scale = np.exp(-x + a * np.log(np.maximum(x, 1e-300)) - _lgamma(a)) if x.size else x
+    log_a = log_gamma(a) if log_a is None else log_a
+    scale = np.exp(-x + a * np.log(np.maximum(x, 1e-300)) - log_a) if x.size else x
     low = (x > 0) & (x < a + 1)
     if low.any():
         aa, xx = a[low], x[low]
@@ -102,20 +116,22 @@ def gamma_p(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def chi2_cdf(x, df) -> np.ndarray:
-    return gamma_p(np.asarray(df, dtype=float) / 2, np.asarray(x, dtype=float) / 2)
+def chi2_cdf(x, df, log_half=None) -> np.ndarray:
+    return gamma_p(np.asarray(df, dtype=float) / 2, np.asarray(x, dtype=float) / 2, log_half)
 
 
-def chi2_quantile(prob, df, steps: int = 200) -> np.ndarray:
-    """Chi-square quantile by bisection (fractional degrees of freedom allowed)."""
+def chi2_quantile(prob, df) -> np.ndarray:
+    """Chi-square quantile by bisection to the last bit (fractional degrees of freedom allowed)."""
     df = np.asarray(df, dtype=float)
     prob = np.broadcast_to(np.asarray(prob, dtype=float), df.shape)
+    log_half = log_gamma(df / 2)
     lo = np.zeros_like(df)
     hi = np.maximum(df, 1.0) * 2
-    while np.any(chi2_cdf(hi, df) < prob):
-        hi = np.where(chi2_cdf(hi, df) < prob, hi * 2, hi)
-    for _ in range(steps):
+    while np.any(short := chi2_cdf(hi, df, log_half) < prob):
+        hi = np.where(short, hi * 2, hi)
+    while True:
         mid = (lo + hi) / 2
-        below = chi2_cdf(mid, df) < prob
+        if np.all((mid == lo) | (mid == hi)):
+            return mid
+        below = chi2_cdf(mid, df, log_half) < prob
         lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
-    return (lo + hi) / 2

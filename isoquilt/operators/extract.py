@@ -116,14 +116,6 @@ def search_sequence(fwd: Column, rev: Column, strand: Column, cfg: ReadConfig) -
     return F.when(minus, near5).otherwise(seq.revcomp(near3))
 
 
-def tail_polya(fwd: Column, rev: Column, strand: Column, ref_end: Column, gene_end: Column, cfg: ReadConfig) -> Column:
-    """PolyA in the clip behind the transcript end, unless the read runs past the gene."""
-    found = F.when(
-        strand == "-", seq.has_polya(seq.revcomp(fwd), cfg.polya_window, cfg.polya_count)
-    ).otherwise(seq.has_polya(rev, cfg.polya_window, cfg.polya_count))
-    return F.when(ref_end >= gene_end + cfg.gene_flank, F.lit(False)).otherwise(found)
-
-
 def gene_table(bed: DataFrame) -> DataFrame:
     """One row per gene: bounds, strand, sorted parts and annotated splice sites."""
     parts = (
@@ -165,40 +157,72 @@ def usable(reads: DataFrame, cfg: ReadConfig) -> DataFrame:
     )
 
 
-def read_genes(reads: DataFrame, bed: DataFrame, cfg: ReadConfig = ReadConfig()) -> DataFrame:
-    """Confident alignments with every gene they overlap."""
-    return overlapping_genes(usable(reads, cfg), gene_table(bed))
+def viewed(reads: DataFrame, views: dict) -> DataFrame:
+    """Replace the sequence by what ``views`` (name -> function of clips and strand) take from it.
+
+    Each view is worked out for both strands of a gene before reads meet genes, so the
+    interval join carries short texts and flags instead of whole sequences.
+    """
+    fwd, rev = soft_clips(F.col("cigar"), F.col("seq"))
+    both = {f"{n}{s}": view(fwd, rev, F.lit(s)) for n, view in views.items() for s in "+-"}
+    return reads.select(*[c for c in reads.columns if c != "seq"], *[c.alias(n) for n, c in both.items()])
+
+
+def picked(joined: DataFrame, views: dict) -> DataFrame:
+    """Of each view the text of the gene's strand."""
+    minus = F.col("gene_strand") == "-"
+    columns = {n: F.when(minus, F.col(f"`{n}-`")).otherwise(F.col(f"`{n}+`")) for n in views}
+    return joined.withColumns(columns).drop(*[f"{n}{s}" for n in views for s in "+-"])
+
+
+def read_genes(reads: DataFrame, bed: DataFrame, cfg: ReadConfig = ReadConfig(), views: dict | None = None) -> DataFrame:
+    """Confident alignments with every gene they overlap, and the wanted views of their clips."""
+    views = views or {}
+    return picked(overlapping_genes(viewed(usable(reads, cfg), views), gene_table(bed)), views)
+
+
+def search_view(cfg: ReadConfig):
+    """View: the clip that may hold the barcode."""
+    return lambda fwd, rev, strand: search_sequence(fwd, rev, strand, cfg)
+
+
+def tail_view(cfg: ReadConfig):
+    """View: whether the clip behind the transcript end holds a polyA window."""
+
+    def found(fwd, rev, strand):
+        plus = seq.has_polya(rev, cfg.polya_window, cfg.polya_count)
+        return F.when(strand == "-", seq.has_polya(seq.revcomp(fwd), cfg.polya_window, cfg.polya_count)).otherwise(plus)
+
+    return found
+
+
+def inside_gene(found: Column, cfg: ReadConfig) -> Column:
+    """A polyA counts unless the read runs past the gene."""
+    return F.when(F.col("ref_end") >= F.col("gene_end") + cfg.gene_flank, F.lit(False)).otherwise(found)
 
 
 def exon_reads(reads: DataFrame, bed: DataFrame, cfg: ReadConfig = ReadConfig()) -> DataFrame:
     """Exon read table: name, barcode search sequence, gene, isoform, site match, polyA, strand."""
-    fwd, rev = soft_clips(F.col("cigar"), F.col("seq"))
-    df = usable(reads, cfg).select(
-        F.col("read_name"),
-        "rname",
-        "pos",
-        "cigar",
-        exon_blocks(F.col("pos"), F.col("cigar")).alias("blocks"),
-        fwd.alias("fwd"),
-        rev.alias("rev"),
+    views = {"search": search_view(cfg), "behind": tail_view(cfg)}
+    df = viewed(usable(reads, cfg), views).select(
+        "read_name", "rname", "pos", "cigar", exon_blocks(F.col("pos"), F.col("cigar")).alias("blocks"),
+        *[f"`{n}{s}`" for n in views for s in "+-"],
     )
-    df = overlapping_genes(df, gene_table(bed).drop("parts"))
-    strand = F.col("gene_strand")
-    df = compute_once(
-        df,
-        seq=search_sequence(F.col("fwd"), F.col("rev"), strand, cfg),
-        near=blocks_near(F.col("blocks"), F.col("gene_start"), F.col("gene_end"), cfg.gene_flank),
-    ).where((F.length("seq") > 0) & (F.size("near") > 0))
+    # a read without a search sequence on either strand joins nothing
+    df = df.where((F.length("`search+`") > 0) | (F.length("`search-`") > 0))
+    df = picked(overlapping_genes(df, gene_table(bed).drop("parts")), views).where(F.length("search") > 0)
+    near = blocks_near(F.col("blocks"), F.col("gene_start"), F.col("gene_end"), cfg.gene_flank)
+    df = compute_once(df, near=near).where(F.size("near") > 0)
     ends = F.flatten(F.transform("near", lambda b: F.array(b["s"], b["e"])))
     inner = F.slice(ends, F.lit(2), F.size(ends) - 2)
     return df.select(
         "read_name",
-        "seq",
+        F.col("search").alias("seq"),
         "gene",
         intervals.format_blocks(F.col("near")).alias("isoform"),
         matched_site_share(inner, F.col("sites"), cfg.site_tolerance).alias("state"),
-        tail_polya(F.col("fwd"), F.col("rev"), strand, F.col("ref_end"), F.col("gene_end"), cfg).alias("polyA"),
-        F.when(strand == "+", "plus").otherwise("minus").alias("strand"),
+        inside_gene(F.col("behind"), cfg).alias("polyA"),
+        F.when(F.col("gene_strand") == "+", "plus").otherwise("minus").alias("strand"),
     )
 
 
@@ -251,26 +275,28 @@ def present_parts(coverage: Column, parts: Column, full: float = 0.9, edge: floa
 
 def coverage_reads(reads: DataFrame, bed: DataFrame, cfg: ReadConfig = ReadConfig(min_mapq=0)) -> DataFrame:
     """Exon-coverage read table of the older extraction (no mapping quality filter)."""
-    df = spans_most(read_genes(reads, bed, cfg))
-    fwd, rev = soft_clips(F.col("cigar"), F.col("seq"))
-    blocks = aligned_blocks(F.col("pos"), F.col("cigar"))
-    df = compute_once(df, blocks=blocks)
+
+    def search(fwd, rev, strand):
+        near5 = F.when(F.length(fwd) > cfg.min_clip, seq.last_bases(fwd, cfg.search_len)).otherwise(F.lit(""))
+        near3 = F.when(F.length(rev) > cfg.min_clip, F.left(rev, F.lit(cfg.search_len))).otherwise(F.lit(""))
+        if cfg.toolkit == 5:
+            return F.when(strand == "-", seq.revcomp(near3)).otherwise(near5)
+        return F.when(strand == "-", seq.revcomp(near5)).otherwise(near3)
+
+    def run_behind(fwd, rev, strand):
+        return F.when(strand == "-", seq.revcomp(fwd)).otherwise(rev).contains("A" * cfg.polya_run)
+
+    df = spans_most(read_genes(reads, bed, cfg, {"search": search, "behind": run_behind}))
+    df = compute_once(df, blocks=aligned_blocks(F.col("pos"), F.col("cigar")))
     df = compute_once(df, coverage=part_coverage(F.col("blocks"), F.col("parts")))
     df = df.where(F.exists("coverage", lambda c: c > 0))
-    minus = F.col("gene_strand") == "-"
-    near5 = F.when(F.length(fwd) > cfg.min_clip, seq.last_bases(fwd, cfg.search_len)).otherwise(F.lit(""))
-    near3 = F.when(F.length(rev) > cfg.min_clip, F.left(rev, F.lit(cfg.search_len))).otherwise(F.lit(""))
-    if cfg.toolkit == 5:
-        search = F.when(minus, seq.revcomp(near3)).otherwise(near5)
-    else:
-        search = F.when(minus, seq.revcomp(near5)).otherwise(near3)
     return df.select(
         "read_name",
         present_parts(F.col("coverage"), F.col("parts")).alias("exons"),
         "gene",
-        search.alias("seq"),
-        F.when(minus, seq.revcomp(fwd)).otherwise(rev).contains("A" * cfg.polya_run).alias("polyA"),
-        F.when(minus, "minus").otherwise("plus").alias("strand"),
+        F.col("search").alias("seq"),
+        F.col("behind").alias("polyA"),
+        F.when(F.col("gene_strand") == "-", "minus").otherwise("plus").alias("strand"),
         "coverage",
         touches_both_ends(F.col("coverage")).alias("spanning"),
         F.col("pos").alias("reads_s"),

@@ -49,18 +49,45 @@ def exon_table(rows: DataFrame) -> DataFrame:
     return grid.select(*PATTERN, "exon", state.cast("int").alias("state"))
 
 
+#: Cells (pattern by exon) of a gene that one task turns into pair counts.
+TASK_CELLS = 100_000
+
+
+def _pair_counts(table: DataFrame) -> DataFrame:
+    """(gene, a, b, differ, seen, apart) for exon pairs a <= b: in how many patterns the two
+    disagree, the first is observed, exactly one is observed.
+
+    A block of patterns becomes two matrices, observed and present, whose products hold the counts of
+    all pairs; only one row a pair and block is shuffled, not one a pair and pattern.
+    """
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        pattern = pd.factorize(pd.MultiIndex.from_frame(pdf[["exons", "tail"]]))[0]
+        exon, names = pd.factorize(pdf["exon"], sort=True)
+        state = np.full((pattern.max() + 1, len(names)), np.nan)
+        state[pattern, exon] = pdf["state"].astype(float)
+        observed, present = (~np.isnan(state)).astype(float), (state == 1).astype(float)
+        both, met, shared = observed.T @ observed, present.T @ observed, present.T @ present
+        seen = np.diag(both)
+        a, b = np.triu_indices(len(names))
+        differ = (met + met.T - 2 * shared)[a, b]
+        apart = seen[a] + seen[b] - 2 * both[a, b]
+        made = {"a": names[a], "b": names[b], "differ": differ, "seen": seen[a], "apart": apart}
+        return pd.DataFrame({"gene": pdf["gene"].iloc[0]} | {k: v.astype(np.int64) for k, v in made.items()})
+
+    blocks = table.groupBy("gene").agg(F.ceil(F.count("*") / TASK_CELLS).alias("_blocks"))
+    block = F.pmod(F.xxhash64("exons", "tail"), F.col("_blocks"))
+    dealt = table.join(blocks, "gene").select(*PATTERN, "exon", "state", block.alias("_block"))
+    counted = dealt.groupBy("gene", "_block").applyInPandas(
+        count, "gene string, a bigint, b bigint, differ bigint, seen bigint, apart bigint"
+    )
+    return counted.groupBy("gene", "a", "b").agg(*[F.sum(c).alias(c) for c in ("differ", "seen", "apart")])
+
+
 def merge_flags(table: DataFrame) -> DataFrame:
     """For exon pairs of a gene: 1 mergeable (always equal or always opposite, seen together),
     0 not, NULL undecided; ``differ`` counts patterns in which the two disagree."""
-    a = table.select(*PATTERN, F.col("exon").alias("a"), F.col("state").alias("sa"))
-    b = table.select(*PATTERN, F.col("exon").alias("b"), F.col("state").alias("sb"))
-    pairs = a.join(b, PATTERN).where("a <= b")
-    as_int = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("bigint"))
-    sums = pairs.groupBy("gene", "a", "b").agg(
-        as_int(F.col("sa") != F.col("sb")).alias("differ"),
-        as_int(F.col("sa").isNotNull()).alias("seen"),
-        as_int(F.col("sa").isNull() != F.col("sb").isNull()).alias("apart"),
-    )
+    sums = _pair_counts(table)
     united = (F.col("differ") == 0) | (F.col("differ") == F.col("seen"))
     flag = F.when(F.col("a") == F.col("b"), 1).when(~united, 0).when(F.col("apart") == 0, 1)
     return sums.select("gene", "a", "b", flag.cast("int").alias("flag"), "differ")

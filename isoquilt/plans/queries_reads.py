@@ -183,10 +183,9 @@ tb.sql_table(
         FROM oriented""",
 )
 def rd_polya_strand(spark, sf):
-    df = ex.read_genes(tb.alignments(spark, sf), tb.gene_bed(spark, sf))
-    fwd, rev = ex.soft_clips(F.col("cigar"), F.col("seq"))
-    found = ex.tail_polya(fwd, rev, F.col("gene_strand"), F.col("ref_end"), F.col("gene_end"), ReadConfig())
-    return df.select("read_name", "gene", found.alias("polyA"))
+    views = {"behind": ex.tail_view(ReadConfig())}
+    df = ex.read_genes(tb.alignments(spark, sf), tb.gene_bed(spark, sf), views=views)
+    return df.select("read_name", "gene", ex.inside_gene(F.col("behind"), ReadConfig()).alias("polyA"))
 
 
 _RC = "reverse(translate({x}, 'ACGT', 'TGCA'))"
@@ -206,10 +205,9 @@ def rd_search_seq(spark, sf):
 
 
 def _searched(spark, sf, toolkit):
-    df = ex.read_genes(tb.alignments(spark, sf), tb.gene_bed(spark, sf))
-    fwd, rev = ex.soft_clips(F.col("cigar"), F.col("seq"))
-    found = ex.search_sequence(fwd, rev, F.col("gene_strand"), ReadConfig(toolkit=toolkit))
-    return df.select("read_name", "gene", found.alias("seq")).where("seq <> ''")
+    views = {"search": ex.search_view(ReadConfig(toolkit=toolkit))}
+    df = ex.read_genes(tb.alignments(spark, sf), tb.gene_bed(spark, sf), views=views)
+    return df.select("read_name", "gene", F.col("search").alias("seq")).where("seq <> ''")
 
 
 def _sql_trim(text):

@@ -197,3 +197,30 @@ def test_partitioning_does_not_change_clusters(spark):
     a = {r.id: r.cluster for r in umi.cluster(nodes).collect()}
     b = {r.id: r.cluster for r in umi.cluster(nodes.repartition(7), replace(UmiConfig(), pair_bound=3)).collect()}
     assert a == b
+
+
+def test_highest_passing_number():
+    rng = np.random.default_rng(8)
+    high = rng.integers(0, 90, 60)
+    passing = [set(rng.choice(90, rng.integers(0, 6), replace=False).tolist()) for _ in high]
+
+    def test(rows, j):
+        return np.array([x in passing[r] for r, x in zip(rows.tolist(), j.tolist())])
+
+    for chunk in (7, 100, 200_000):
+        got = sizes._highest(test, np.arange(60), high, chunk)
+        assert got.tolist() == [max((x for x in p if 0 < x <= h), default=0) for p, h in zip(passing, high)]
+
+
+def test_pair_counts_do_not_depend_on_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [("g", f"p{p}", bool(p % 2), e, rng.choice([None, 0, 1])) for p in range(60) for e in range(1, 9)]
+    table = spark.createDataFrame(rows, "gene string, exons string, tail boolean, exon bigint, state int")
+    whole = sorted(map(tuple, psi._pair_counts(table).collect()))
+    monkeypatch.setattr(psi, "TASK_CELLS", 50)
+    assert sorted(map(tuple, psi._pair_counts(table).collect())) == whole
+    state = {(p, e): s for _, p, _, e, s in rows}
+    for _, a, b, differ, seen, apart in whole:
+        pairs = [(state[(f"p{p}", a)], state[(f"p{p}", b)]) for p in range(60)]
+        assert differ == sum(x != y for x, y in pairs if x is not None and y is not None)
+        assert seen == sum(x is not None for x, _ in pairs) and apart == sum((x is None) != (y is None) for x, y in pairs)
