@@ -3,9 +3,10 @@
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from isoquilt.config import BarcodeConfig, ReadConfig, UmiConfig
-from isoquilt.operators import annotation, barcode, exons, extract
+from isoquilt.config import BarcodeConfig, ExonConfig, ReadConfig, UmiConfig
+from isoquilt.operators import annotation, barcode, exons, extract, psi
 from isoquilt.plans import longread
 from isoquilt.sources import bam, readers, writers
 
@@ -32,6 +33,14 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--" + option, type=int, default=default)
     stage("exons", "counts", "bed")
     stage("matrix", "exons")
+    s = stage("psi", "exons", "bed")
+    s.add_argument("--cells", help="text file of the cells to keep")
+    s.add_argument("--min-exprs", type=int, default=10)
+    s = stage("phi", "psi")
+    s.add_argument("--min-cells", type=int, default=30)
+    s.add_argument("--iters", type=int, default=100)
+    s = stage("run", "bam", "bed", "whitelist")
+    s.add_argument("--toolkit", "-t", type=int, choices=(3, 5), default=5)
     return p
 
 
@@ -57,13 +66,25 @@ def main(argv=None) -> None:
         writers.write_store(barcode.assign_cells(found, reads, cfg), opt.out)
     elif opt.stage == "count":
         cfg = UmiConfig(
-            sim_thresh=opt.sim_thresh, barcode_len=opt.blen, umi_len=opt.ulen, flank=opt.flank, site_thresh=opt.site_thresh
+            sim_thresh=opt.sim_thresh, barcode_len=opt.blen, umi_len=opt.ulen, flank=opt.flank,
+            site_thresh=opt.site_thresh, min_reads=opt.site_thresh,
         )
         writers.write_store(longread.count_molecules(store(opt.cells), cfg), opt.out)
     elif opt.stage == "exons":
         writers.write_store(exons.exon_counts(store(opt.counts), store(opt.bed)), opt.out)
     elif opt.stage == "matrix":
         writers.write_matrix_bundle(exons.matrix_bundle(store(opt.exons)), opt.out)
+    elif opt.stage == "psi":
+        cells = spark.read.text(opt.cells).select(F.trim("value").alias("cell")) if opt.cells else None
+        cfg = ExonConfig(min_exprs=opt.min_exprs)
+        writers.write_store(psi.gene_psi(store(opt.exons), store(opt.bed), cfg=cfg, cells=cells), opt.out)
+    elif opt.stage == "phi":
+        writers.write_store(psi.gene_phi(store(opt.psi), ExonConfig(min_cells=opt.min_cells, iters=opt.iters)), opt.out)
+    elif opt.stage == "run":
+        cfg = longread.LongReadConfig(reads=ReadConfig(toolkit=opt.toolkit))
+        whitelist = readers.read_whitelist(spark, opt.whitelist)
+        for name, table in longread.run(alignments(spark, opt.bam), store(opt.bed), whitelist, cfg).items():
+            writers.write_store(table, f"{opt.out}/{name}")
 
 
 if __name__ == "__main__":

@@ -175,6 +175,32 @@ def find_module(modules: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.join(modules.select("gene", "exon", "module"), ["gene", "exon"])
 
 
+def merge_pairs(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Two exons taken as one, for any list of pairs (gene, a, b): (pattern, a, b, state).
+
+    The second exon is turned where some pattern shows the two in different states; the
+    state is the first exon's, or the second's where the first cannot be told.
+    """
+    one = table.select(*PATTERN, F.col("exon").alias("a"), F.col("state").alias("sa"))
+    two = table.select(*PATTERN, F.col("exon").alias("b"), F.col("state").alias("sb"))
+    both = one.join(pairs, ["gene", "a"]).join(two, [*PATTERN, "b"])
+    turned = both.groupBy("gene", "a", "b").agg(F.coalesce(F.bool_or(F.col("sa") != F.col("sb")), F.lit(False)).alias("flip"))
+    state = F.coalesce("sa", F.when(F.col("flip"), 1 - F.col("sb")).otherwise(F.col("sb")))
+    return both.join(turned, ["gene", "a", "b"]).select(*PATTERN, "a", "b", state.alias("state"))
+
+
+def neighbours(table: DataFrame) -> DataFrame:
+    """Each known exon of a gene with the next one: (gene, a, b)."""
+    known = table.groupBy("gene").agg(F.sort_array(F.collect_set("exon")).alias("known"))
+    pairs = F.zip_with(F.slice("known", F.lit(1), F.size("known") - 1), F.slice("known", F.lit(2), F.size("known")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return known.where(F.size("known") > 1).select("gene", F.inline(pairs))
+
+
+def chosen(rows: DataFrame, cells: DataFrame | None, key: str = "cell") -> DataFrame:
+    """Rows of the wanted cells (or other key values); all rows if none are named."""
+    return rows if cells is None else rows.join(cells.select(key).distinct(), key, "left_semi")
+
+
 def inclusion_counts(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Per gene, cell and exon: counts that can tell (den) and counts that include it (num).
 
@@ -194,12 +220,30 @@ def psi(counts: DataFrame, cfg: ExonConfig = ExonConfig()) -> DataFrame:
     )
 
 
-def gene_psi(rows: DataFrame, bed: DataFrame, anno: DataFrame | None = None, cfg: ExonConfig = ExonConfig()) -> DataFrame:
-    """psi of merged exons long enough to be trusted."""
-    table = cut(merge_exons(rows, anno))
+def gene_psi(
+    rows: DataFrame,
+    bed: DataFrame,
+    anno: DataFrame | None = None,
+    cfg: ExonConfig = ExonConfig(),
+    cells: DataFrame | None = None,
+    exons: DataFrame | None = None,
+) -> DataFrame:
+    """psi of merged exons long enough to be trusted.
+
+    ``cells`` (cell) leaves only those cells, after the exons were merged over all; ``exons`` (gene, exon)
+    leaves only the modules that hold a wanted exon.
+    """
+    table = cut(exon_table(rows.where("count > 0")))
+    flags = cut(combined_flags(merge_flags(table), anno))
+    modules = cut(exon_modules(flags))
+    merged = cut(merged_table(table, flags, modules))
     parts = annotation.numbered_parts(bed)
-    keep = annotation.long_enough(table.select("gene", "exon").distinct(), parts, cfg.exon_len)
-    return psi(inclusion_counts(rows, table.join(keep, ["gene", "exon"], "left_semi")), cfg)
+    keep = annotation.long_enough(merged.select("gene", "exon").distinct(), parts, cfg.exon_len)
+    if exons is not None:
+        wanted = find_module(modules, exons).select("gene", F.col("module").alias("exon")).distinct()
+        keep = keep.join(wanted, ["gene", "exon"], "left_semi")
+    counts = inclusion_counts(chosen(rows, cells), merged.join(keep, ["gene", "exon"], "left_semi"))
+    return psi(counts, cfg)
 
 
 def dispersion(mean: Column, var: Column) -> Column:
@@ -223,11 +267,12 @@ POISSON_ONE = [0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153,
 def phi_interval(values: DataFrame, iters: int = 100) -> DataFrame:
     """Bootstrap mean and 95 % interval of phi per exon.
 
-    Every cell enters every replicate with a hash-seeded Poisson(1) weight, so the
-    replicates reduce to weighted sums that combine before the shuffle.
+    Every cell enters every replicate with a Poisson(1) weight drawn by md5 of its names, so the
+    replicates reduce to weighted sums that combine before the shuffle, and any engine can repeat them.
     """
     reps = values.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(iters))))
-    u = F.pmod(F.xxhash64("gene", "exon", "cell", "rep"), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
+    drawn = F.conv(F.left(F.md5(F.concat_ws("/", "gene", "exon", "cell", "rep")), F.lit(8)), 16, 10).cast("bigint")
+    u = drawn / F.lit(float(1 << 32))
     weight = sum([(u >= F.lit(p)).cast("double") for p in POISSON_ONE], F.lit(0.0))
     x = F.col("psi")
     sums = (
@@ -245,9 +290,11 @@ def phi_interval(values: DataFrame, iters: int = 100) -> DataFrame:
     )
 
 
-def gene_phi(values: DataFrame, cfg: ExonConfig = ExonConfig(), min_cells: int | None = None) -> DataFrame:
-    """Exon, mean psi, bootstrapped phi with bounds, cell count, gene."""
-    values = cut(values)
+def gene_phi(
+    values: DataFrame, cfg: ExonConfig = ExonConfig(), min_cells: int | None = None, cells: DataFrame | None = None
+) -> DataFrame:
+    """Exon, mean psi, bootstrapped phi with bounds, cell count, gene; over ``cells`` only, if named."""
+    values = cut(chosen(values, cells))
     point = phi(values, min_cells or cfg.min_cells).drop("phi")
     seen = values.join(point.select("gene", "exon"), ["gene", "exon"], "left_semi")
     return point.join(phi_interval(seen, cfg.iters), ["gene", "exon"], "left").select(

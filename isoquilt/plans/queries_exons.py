@@ -7,7 +7,7 @@ from isoquilt.functions import intervals
 from isoquilt.operators import annotation, exons, psi
 from isoquilt.plans import testbed as tb
 from isoquilt.plans.registry import query
-from isoquilt.session import stored
+from isoquilt.session import cut, stored
 
 CFG = ExonConfig()
 
@@ -288,19 +288,15 @@ def et_search(spark, sf):
 @query(
     "et_pair_merge",
     "exon_states",
-    """, p AS (SELECT x.gene, x.exons, x.tail, x.state AS a, y.state AS b FROM exon_states x JOIN exon_states y USING (gene, exons, tail)
-        WHERE x.exon = 2 AND y.exon = 3)
-    SELECT gene, exons, tail, coalesce(a, CASE WHEN flip THEN 1 - b ELSE b END)::double AS state FROM p JOIN
-        (SELECT gene, coalesce(bool_or(a <> b), FALSE) AS flip FROM p GROUP BY gene) USING (gene)""",
+    """, k AS (SELECT gene, exon AS a, lead(exon) OVER (PARTITION BY gene ORDER BY exon) AS b FROM (SELECT DISTINCT gene, exon FROM exon_states)),
+    p AS (SELECT x.gene, x.exons, x.tail, k.a, k.b, x.state AS sa, y.state AS sb FROM k JOIN exon_states x ON x.gene = k.gene AND x.exon = k.a
+        JOIN exon_states y ON y.gene = x.gene AND y.exons = x.exons AND y.tail = x.tail AND y.exon = k.b)
+    SELECT gene, exons, tail, a, b, coalesce(sa, CASE WHEN flip THEN 1 - sb ELSE sb END)::double AS state FROM p JOIN
+        (SELECT gene, a, b, coalesce(bool_or(sa <> sb), FALSE) AS flip FROM p GROUP BY gene, a, b) USING (gene, a, b)""",
 )
 def et_pair_merge(spark, sf):
-    t = _states(spark, sf)
-    a = t.where("exon = 2").select(*psi.PATTERN, F.col("state").alias("a"))
-    b = t.where("exon = 3").select(*psi.PATTERN, F.col("state").alias("b"))
-    p = a.join(b, psi.PATTERN)
-    flips = p.groupBy("gene").agg(F.coalesce(F.bool_or(F.col("a") != F.col("b")), F.lit(False)).alias("flip"))
-    state = F.coalesce("a", F.when(F.col("flip"), 1 - F.col("b")).otherwise(F.col("b")))
-    return p.join(flips, "gene").select(*psi.PATTERN, state.cast("double").alias("state"))
+    t = cut(_states(spark, sf))
+    return _double(psi.merge_pairs(t, psi.neighbours(t)), "state")
 
 
 @query("et_list_merge", "merged_states", "SELECT gene, exons, tail, exon, state::double AS state FROM merged_states")
@@ -361,14 +357,59 @@ def ps_phi(spark, sf):
     return out.withColumn("mean_psi", F.round("mean_psi", 6)).withColumn("phi", F.round("phi", 6))
 
 
-@query("ps_phi_conf")
+# Percentile bounds over replicates with Poisson weights drawn by md5, as the operator draws them.
+_POISSON_SQL = " + ".join(f"(u >= {p!r}::double)::int" for p in psi.POISSON_ONE)
+
+
+def _interval_sql(values):
+    return f"""b AS (SELECT gene, exon, rep, sum(w) AS n, sum(w * psi) AS s, sum(w * psi * psi) AS q FROM (SELECT *, ({_POISSON_SQL})::double AS w FROM
+        (SELECT *, ('0x' || substr(md5(concat_ws('/', gene, exon, cell, rep)), 1, 8))::bigint / 4294967296.0::double AS u
+         FROM {values}, (SELECT unnest(range(1, {CFG.iters + 1})) AS rep))) GROUP BY gene, exon, rep),
+    v AS (SELECT gene, exon, s / n AS m, (q - n * (s / n) * (s / n)) / (n - 1) AS var FROM b WHERE n > 1),
+    i AS (SELECT gene, exon, avg(var / (m * (1 - m))) AS phi, quantile_cont(var / (m * (1 - m)), 0.025) AS phi_lwr,
+        quantile_cont(var / (m * (1 - m)), 0.975) AS phi_upr FROM v WHERE m * (1 - m) <> 0 GROUP BY gene, exon)"""
+
+
+def _point_sql(values, cells):
+    return f"t AS (SELECT gene, exon, avg(psi) AS mean_psi, count(*) AS count FROM {values} GROUP BY gene, exon HAVING count(*) >= {cells})"
+
+
+_PHI_ROW = "SELECT exon, round(mean_psi, 6) AS mean_psi, round(phi, 5) AS phi, round(phi_lwr, 5) AS phi_lwr, round(phi_upr, 5) AS phi_upr, count, gene FROM t LEFT JOIN i USING (gene, exon)"
+
+
+def _rounded(phi):
+    return phi.select("exon", F.round("mean_psi", 6).alias("mean_psi"), *[F.round(c, 5).alias(c) for c in ("phi", "phi_lwr", "phi_upr")], "count", "gene")
+
+
+@query(
+    "ps_phi_conf",
+    "psi_table",
+    f", {_interval_sql('psi_table')} SELECT gene, exon, round(phi, 5) AS phi, round(phi_lwr, 5) AS phi_lwr, round(phi_upr, 5) AS phi_upr FROM i",
+)
 def ps_phi_conf(spark, sf):
-    return psi.phi_interval(_psi(spark, sf), CFG.iters)
+    out = psi.phi_interval(_psi(spark, sf), CFG.iters)
+    return out.select("gene", "exon", *[F.round(c, 5).alias(c) for c in ("phi", "phi_lwr", "phi_upr")])
 
 
-@query("ps_gene_phi")
+@query("ps_gene_phi", "psi_table", f", {_interval_sql('psi_table')}, {_point_sql('psi_table', CFG.min_cells)} {_PHI_ROW}")
 def ps_gene_phi(spark, sf):
-    return psi.gene_phi(_psi(spark, sf), CFG)
+    return _rounded(psi.gene_phi(_psi(spark, sf), CFG))
+
+
+@query(
+    "ps_select",
+    "psi_table merged_states exon_rows",
+    """, c AS (SELECT cell FROM exon_rows GROUP BY cell HAVING sum(count) >= (SELECT median(n) FROM (SELECT sum(count) AS n FROM exon_rows GROUP BY cell)))
+    SELECT gene, cell, exon, round(psi, 10) AS psi FROM psi_table SEMI JOIN c USING (cell) WHERE list_contains(string_split(exon, '|'), '3')""",
+)
+def ps_select(spark, sf):
+    rows = _exon_count(spark, sf)
+    sums = rows.where("count > 0").groupBy("cell").agg(F.sum("count").alias("n"))
+    cells = sums.where(F.col("n") >= sums.agg(F.median("n").alias("m")).select("m").scalar())
+    wanted = rows.select("gene").distinct().withColumn("exon", F.lit(3).cast("bigint"))
+    out = psi.gene_psi(rows, tb.gene_bed(spark, sf), cells=cells, exons=wanted)
+    return out.withColumn("psi", F.round("psi", 10))
+
 
 
 # ------------------------------------------------------------- censored psi
@@ -429,7 +470,7 @@ def pc_psi(spark, sf):
     return psi.censored_psi(_truncated(spark, sf), CFG.censored_min_reads).withColumn("psi", F.round("psi", 6))
 
 
-@query("pc_phi")
+@query("pc_phi", "censored", f", {_interval_sql('censored')}, {_point_sql('censored', CFG.censored_min_cells)} {_PHI_ROW}")
 def pc_phi(spark, sf):
-    values = psi.censored_psi(_truncated(spark, sf), 2)
-    return psi.gene_phi(values, CFG, min_cells=CFG.censored_min_cells)
+    values = psi.censored_psi(_truncated(spark, sf), CFG.censored_min_reads)
+    return _rounded(psi.gene_phi(values, CFG, min_cells=CFG.censored_min_cells))
