@@ -219,7 +219,8 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     several = different.select("h1", "h2", "pos", "copies").join(near, ["h1", "h2"], "left")
     several = several.where("copies > 1 or near")
     # a line that goes altogether has no place that stays
-    several = several.select("h1", "h2", F.when(F.col("near").isNull(), F.col("pos")).alias("stays"))
+    # kept, so that both sides of the join are plain exchanges and a very common line can be split
+    several = cut(several.select("h1", "h2", F.when(F.col("near").isNull(), F.col("pos")).alias("stays")))
     each = lines_of(source).select("doc_id", "line", "h1", "h2", "pos")
     gone = each.join(several, ["h1", "h2"]).where("stays is null or pos <> stays")
     return gone.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
