@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isoquilt.functions.communities import split_graph
+from isoquilt.functions.communities import GRAIN, cut_below, split_graph
 from isoquilt.session import cut
 
 
@@ -19,6 +19,10 @@ def _fingerprint(edges: DataFrame, keys: list):
     return tuple(edges.agg(F.count("*"), mixed).first())
 
 
+#: Edges that one task clusters, a few thousand small graphs.
+TASK_ROWS = 50_000
+
+
 def connected_components(edges: DataFrame, keys: list) -> DataFrame:
     """(keys, id, component) for every vertex of an edge; the component is its smallest id.
 
@@ -134,136 +138,216 @@ def _split_in_tasks(edges: DataFrame, keys: list, alpha: int, accept_ns: float)
             yield solved(held, [0, len(held["a"])])
 
     # an explicit number keeps small graphs from being coalesced into a single Python task
-    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(edges.sparkSession.sparkContext.defaultParallelism, -(-edges.count() // TASK_ROWS))
     laid = edges.select(*keys, "a", "b", "na", "nb", "ns", "capacity").repartition(tasks, *keys)
     laid = laid.sortWithinPartitions(*keys)
     return laid.mapInPandas(run, schema)
 
 
-def _communities(edges: DataFrame, keys: list, steps: int = 12) -> DataFrame:
-    """Communities of oversize components by synchronous moves (keys, id, comm).
+def _whole(column):
+    """Sums and products of weights, wider than a long."""
+    return F.col(column).cast("decimal(19,0)") if isinstance(column, str) else column.cast("decimal(19,0)")
 
-    Each step every vertex of one alternating half moves to the neighbouring
-    community with the largest modularity gain; halves alternate so that two
-    vertices cannot swap for ever.
-    """
-    both = edges.where("a <> b").select(*keys, F.col("a").alias("id"), F.col("b").alias("to"), "w")
-    both = cut(both.unionByName(both.select(*keys, F.col("to").alias("id"), F.col("id").alias("to"), "w")))
-    loops = edges.where("a = b").select(*keys, F.col("a").alias("id"), (F.col("w") * 2).alias("w"))
-    degree = cut(
-        both.select(*keys, "id", "w").unionByName(loops).groupBy(*keys, "id").agg(F.sum("w").alias("deg"))
+
+def _scores(both: DataFrame, state: DataFrame, total: DataFrame, keys: list) -> DataFrame:
+    """(keys, score): modularity of the communities of ``state``, as ``communities.settle`` counts it."""
+    near = state.select(*keys, F.col("id").alias("to"), F.col("comm").alias("there"))
+    met = both.join(near, [*keys, "to"]).join(state.select(*keys, "id", "comm"), [*keys, "id"]).where("comm = there")
+    inside = met.groupBy(*keys, "comm").agg(F.sum("w").alias("inside"))
+    mass = state.groupBy(*keys, "comm").agg(F.sum("deg").alias("mass"), F.sum(2 * F.col("loop")).alias("loops"))
+    each = mass.join(inside, [*keys, "comm"], "left").join(total, keys)
+    held = F.col("loops") + F.coalesce("inside", F.lit(0))
+    return each.groupBy(*keys).agg(F.sum(_whole(held) * _whole("total") - _whole("mass") * _whole("mass")).alias("score"))
+
+
+def _proposals(both: DataFrame, state: DataFrame, total: DataFrame, keys: list) -> DataFrame:
+    """(keys, id, own, target, best): every vertex's best move with a positive gain."""
+    near = state.select(*keys, F.col("id").alias("to"), F.col("comm").alias("target"))
+    pull = both.join(near, [*keys, "to"]).groupBy(*keys, "id", "target").agg(F.sum("w").alias("pull"))
+    mass = state.groupBy(*keys, "comm").agg(F.sum("deg").alias("mass"))
+    here = state.select(*keys, "id", "deg", F.col("comm").alias("own")).join(
+        mass.withColumnsRenamed({"comm": "own", "mass": "own_mass"}), [*keys, "own"]
+    )
+    options = pull.join(here, [*keys, "id"])
+    base = options.where("target = own").select(*keys, "id", F.col("pull").alias("base"))
+    others = options.where("target <> own").join(base, [*keys, "id"], "left")
+    others = others.join(mass.withColumnRenamed("comm", "target"), [*keys, "target"]).join(total, keys)
+    rest = F.col("own_mass") - F.col("deg")
+    gain = _whole(F.col("pull") - F.coalesce("base", F.lit(0))) * _whole("total") - _whole("deg") * _whole(
+        F.col("mass") - rest
+    )
+    move = F.struct(gain.alias("gain"), F.xxhash64("id", "target").alias("tie"), "id", "target")
+    best = others.withColumn("best", move).where("best.gain > 0").groupBy(*keys, "id").agg(F.max("best").alias("best"))
+    return best.join(state.select(*keys, "id", F.col("comm").alias("own")), [*keys, "id"]).select(
+        *keys, "id", "own", F.col("best.target").alias("target"), "best"
     )
-    total = degree.groupBy(*keys).agg(F.sum("deg").alias("total"))
-    state = cut(degree.select(*keys, "id", "deg", F.col("id").alias("comm")))
-    quiet = 0
-    for step in range(steps):
-        mass = state.groupBy(*keys, "comm").agg(F.sum("deg").alias("mass"))
-        target = state.select(*keys, F.col("id").alias("to"), "comm")
-        toward = both.join(target, [*keys, "to"]).groupBy(*keys, "id", "comm").agg(F.sum("w").alias("pull"))
-        own = state.select(*keys, "id", "comm", F.lit(0.0).alias("pull"))
-        options = toward.unionByName(own).groupBy(*keys, "id", "comm").agg(F.sum("pull").alias("pull"))
-        now = state.select(*keys, "id", "deg", F.col("comm").alias("here"))
-        scored = options.join(now, [*keys, "id"]).join(mass, [*keys, "comm"]).join(total, keys)
-        others = F.col("mass") - F.when(F.col("comm") == F.col("here"), F.col("deg")).otherwise(F.lit(0.0))
-        gain = F.round(F.col("pull") - F.col("deg") * others / F.col("total"), 9)
-        scored = scored.withColumn("gain", gain).withColumn("stays", (F.col("comm") != F.col("here")).cast("int"))
-        best = scored.groupBy(*keys, "id").agg(
-            F.min(F.struct((-F.col("gain")).alias("g"), "stays", "comm", "deg", "here")).alias("b")
+
+
+def _settle(edges: DataFrame, loops: DataFrame, keys: list) -> DataFrame:
+    """(keys, id, comm) once no vertex gains by a move: ``communities.settle`` as joins."""
+    both = edges.select(*keys, F.col("a").alias("id"), F.col("b").alias("to"), "w")
+    both = cut(both.unionByName(edges.select(*keys, F.col("b").alias("id"), F.col("a").alias("to"), "w")))
+    pulls = both.groupBy(*keys, "id").agg(F.sum("w").alias("pulled"))
+    degree = F.coalesce("pulled", F.lit(0)) + 2 * F.col("loop")
+    state = cut(loops.join(pulls, [*keys, "id"], "left").select(*keys, "id", "loop", degree.alias("deg"), F.col("id").alias("comm")))
+    total = cut(state.groupBy(*keys).agg(F.sum("deg").alias("total")))
+    score = cut(_scores(both, state, total, keys))
+    while True:
+        moves = cut(_proposals(both, state, total, keys))
+        if moves.isEmpty():
+            return state.select(*keys, "id", "comm")
+
+        def moved(by: DataFrame, now: DataFrame = state) -> DataFrame:
+            new = now.join(by.select(*keys, "id", "target"), [*keys, "id"], "left")
+            return new.select(*keys, "id", "loop", "deg", F.coalesce("target", "comm").alias("comm"))
+
+        bold = cut(_scores(both, moved(moves), total, keys))
+        better = bold.join(score.withColumnRenamed("score", "before"), keys).where("score > before").select(*keys)
+        careful = moves.join(better, keys, "left_anti")
+        touched = careful.select(*keys, F.col("own").alias("c"), "best").unionByName(
+            careful.select(*keys, F.col("target").alias("c"), "best")
         )
-        turn = F.pmod(F.xxhash64("id"), F.lit(2)) == step % 2
-        state = cut(
-            best.select(
-                *keys,
-                "id",
-                F.col("b.deg").alias("deg"),
-                F.when(turn, F.col("b.comm")).otherwise(F.col("b.here")).alias("comm"),
-                F.col("b.here").alias("here"),
-            )
+        top = touched.groupBy(*keys, "c").agg(F.max("best").alias("top")).select(*keys, "c", F.col("top.id").alias("top"))
+        sure = careful.join(top.withColumnsRenamed({"c": "own", "top": "t1"}), [*keys, "own"])
+        sure = sure.join(top.withColumnsRenamed({"c": "target", "top": "t2"}), [*keys, "target"]).where("t1 = id and t2 = id")
+        bold_moves = moves.join(better, keys, "left_semi")
+        state = cut(moved(bold_moves.select(*keys, "id", "target").unionByName(sure.select(*keys, "id", "target"))))
+        score = cut(_scores(both, state, total, keys))
+
+
+def _communities(edges: DataFrame, keys: list) -> DataFrame:
+    """(keys, id, comm): ``communities.multilevel`` as joins; needs ``a``, ``b``, ``w``."""
+    ends = edges.select(*keys, F.col("a").alias("id"), F.when(F.col("a") == F.col("b"), F.col("w")).otherwise(0).alias("loop"))
+    ends = ends.unionByName(edges.select(*keys, F.col("b").alias("id"), F.lit(0).alias("loop")))
+    loops = cut(ends.groupBy(*keys, "id").agg(F.sum("loop").alias("loop")))
+    links = cut(edges.where("a <> b and w > 0").select(*keys, "a", "b", "w"))
+    label = loops.select(*keys, "id", F.col("id").alias("at"))
+    while True:
+        comm = _settle(links, loops, keys)
+        if comm.where("id <> comm").isEmpty():
+            return label.select(*keys, "id", F.col("at").alias("comm"))
+        at = comm.withColumnRenamed("id", "at")
+        label = cut(label.join(at, [*keys, "at"]).select(*keys, "id", F.col("comm").alias("at")))
+        ca, cb = comm.withColumnsRenamed({"id": "a", "comm": "ca"}), comm.withColumnsRenamed({"id": "b", "comm": "cb"})
+        moved = links.join(ca, [*keys, "a"]).join(cb, [*keys, "b"])
+        moved = cut(moved.select(*keys, F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "w"))
+        inner = moved.where("a = b").select(*keys, F.col("a").alias("id"), F.col("w").alias("loop"))
+        held = loops.join(comm, [*keys, "id"]).select(*keys, F.col("comm").alias("id"), "loop").unionByName(inner)
+        loops = cut(held.groupBy(*keys, "id").agg(F.sum("loop").alias("loop")))
+        links = cut(moved.where("a <> b").groupBy(*keys, "a", "b").agg(F.sum("w").alias("w")))
+
+
+def _joined_by(links: DataFrame, keys: list) -> DataFrame:
+    """Renaming (keys, id, to) that merges the ends of every link."""
+    return connected_components(links, keys).withColumnRenamed("component", "to")
+
+
+def _cut_off(edges: DataFrame, sizes: DataFrame, keys: list, alpha: int) -> DataFrame:
+    """Keys of the pieces that some cut of less than ``n / alpha`` capacity takes apart (exact).
+
+    Vertices that no such cut can part are merged: ends of an edge, or of an edge and its two-step
+    ways, that together hold the bound.  A piece merged to one vertex has no such cut, one with a
+    vertex below the bound has.  What neither settles is small and dense, and goes to the exact search.
+    """
+    bound = F.col("n") / F.lit(float(alpha))
+    left = cut(edges.where("a <> b").groupBy(*keys, "a", "b").agg(F.sum("capacity").alias("w")))
+    found = None
+    while True:
+        ends = left.select(*keys, F.col("a").alias("id"), "w").unionAll(left.select(*keys, F.col("b").alias("id"), "w"))
+        degree = ends.groupBy(*keys, "id").agg(F.sum("w").alias("deg"))
+        loose = cut(degree.join(sizes, keys).where(F.col("deg") < bound).select(*keys).distinct())
+        found = loose if found is None else found.unionByName(loose)
+        left = cut(left.join(loose, keys, "left_anti"))
+        if left.isEmpty():
+            return found
+        heavy = left.join(sizes, keys).where(F.col("w") >= bound).select(*keys, "a", "b")
+        if heavy.isEmpty():
+            heavy = _tied(left, keys).join(sizes, keys).where(F.col("tied") >= bound).select(*keys, "a", "b")
+        heavy = cut(heavy)
+        if heavy.isEmpty():
+            return found.unionByName(_searched(left.join(sizes, keys), keys, alpha))
+        names = _joined_by(heavy, keys)
+        renamed = left.join(names.withColumnsRenamed({"id": "a", "to": "ta"}), [*keys, "a"], "left").join(
+            names.withColumnsRenamed({"id": "b", "to": "tb"}), [*keys, "b"], "left"
         )
-        quiet = quiet + 1 if state.where("comm <> here").isEmpty() else 0
-        state = state.drop("here")
-        if quiet == 2:
-            break
-    return state.select(*keys, "id", "comm")
+        a, b = F.coalesce("ta", "a"), F.coalesce("tb", "b")
+        renamed = renamed.select(*keys, F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), "w").where("a <> b")
+        left = cut(renamed.groupBy(*keys, "a", "b").agg(F.sum("w").alias("w")))
+
+
+def _tied(links: DataFrame, keys: list) -> DataFrame:
+    """(keys, a, b, tied): capacity of each edge and of all ways over one vertex between its ends."""
+    both = links.select(*keys, F.col("a").alias("id"), F.col("b").alias("to"), "w")
+    both = both.unionByName(links.select(*keys, F.col("b").alias("id"), F.col("a").alias("to"), "w"))
+    one, two = (both.select(*keys, F.col("to").alias("via"), F.col("id").alias(e), F.col("w").alias("w" + e)) for e in "ab")
+    ways = links.select(*keys, "a", "b").join(one, [*keys, "a"]).join(two, [*keys, "b", "via"])
+    over = ways.groupBy(*keys, "a", "b").agg(F.sum(F.least("wa", "wb")).alias("over"))
+    return links.join(over, [*keys, "a", "b"], "left").select(
+        *keys, "a", "b", (F.col("w") + F.coalesce("over", F.lit(0))).alias("tied")
+    )
+
 
+def _searched(left: DataFrame, keys: list, alpha: int) -> DataFrame:
+    """Keys of the merged pieces for which the search of all cuts finds one below the bound."""
+    fields = [f for f in left.schema.fields if f.name in keys]
 
-def cluster_graphs(
-    edges: DataFrame, keys: list, alpha: int, accept_ns: float, task_edges: int, rounds: int = 20
-) -> DataFrame:
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = np.unique(pdf[["a", "b"]].to_numpy())
+        at = {v: k for k, v in enumerate(ids.tolist())}
+        links = [(at[a], at[b], w) for a, b, w in zip(pdf["a"], pdf["b"], pdf["w"])]
+        return pdf[keys].head(int(cut_below(len(ids), links, pdf["n"].iloc[0] / alpha)))
+
+    return left.groupBy(*keys).applyInPandas(search, T.StructType(fields))
+
+
+def cluster_graphs(edges: DataFrame, keys: list, alpha: int, accept_ns: float, task_edges: int) -> DataFrame:
     """(keys, id, cluster) for every vertex with an edge; the cluster is its smallest id.
 
-    Graphs of up to ``task_edges`` edges are solved inside tasks.  Larger ones are
-    first taken apart into components by distributed jobs; components that are
-    still larger are accepted or cut by distributed modularity moves until every
-    piece is settled or small enough.
+    A connected piece stays whole if it has at most ``alpha`` vertices, if every edge is strong, or if
+    no cut of less than one ``alpha``-th of its vertices takes it apart; else edges between its
+    communities go, and what is left is judged again.  Graphs of up to ``task_edges`` edges are solved inside
+    tasks, larger ones by joins; both follow the same rule in whole numbers and give the same labels.
     """
     edges = cut(edges)
     sizes = edges.groupBy(*keys).agg(F.count("*").alias("n_edges"))
     over = sizes.where(F.col("n_edges") > task_edges).select(*keys)
-    small = _split_in_tasks(edges.join(over, keys, "left_anti"), keys, alpha, accept_ns)
-    if over.isEmpty():
-        return small
-    results = [small]
+    results = [_split_in_tasks(edges.join(over, keys, "left_anti"), keys, alpha, accept_ns)]
     left = cut(edges.join(over, keys, "left_semi"))
-    whole = [*keys, "component"]
-    for _ in range(rounds):
-        comp = connected_components(left, keys)
+    whole = [*keys, "piece"]
+    while not left.isEmpty():
+        comp = connected_components(left, keys).withColumnRenamed("component", "piece")
         lone = left.where("a = b").select(*keys, F.col("a").alias("id")).distinct()
-        comp = comp.unionByName(
-            lone.join(comp, [*keys, "id"], "left_anti").withColumn("component", F.col("id"))
-        )
+        comp = cut(comp.unionByName(lone.join(comp, [*keys, "id"], "left_anti").withColumn("piece", F.col("id"))))
         tagged = cut(left.join(comp.withColumnRenamed("id", "a"), [*keys, "a"]))
-        size = tagged.groupBy(*whole).agg(F.count("*").alias("n_edges"))
-        big_keys = size.where(F.col("n_edges") > task_edges).select(*whole)
-        fits = tagged.join(big_keys, whole, "left_anti")
-        results.append(_split_in_tasks(fits, whole, alpha, accept_ns).drop("component"))
-        big = cut(tagged.join(big_keys, whole, "left_semi"))
+        size = tagged.groupBy(*whole).agg(F.count("*").alias("n_edges"), F.min("ns").alias("min_ns"))
+        big_keys = cut(size.where(F.col("n_edges") > task_edges))
+        fits = tagged.join(big_keys.select(*whole), whole, "left_anti")
+        results.append(_split_in_tasks(fits, whole, alpha, accept_ns).drop("piece"))
+        big = cut(tagged.join(big_keys.select(*whole), whole, "left_semi"))
         if big.isEmpty():
             break
-        ends = big.where("a <> b")
-        degree = (
-            ends.select(*whole, F.col("a").alias("id"), "capacity")
-            .unionAll(ends.select(*whole, F.col("b").alias("id"), "capacity"))
-            .groupBy(*whole, "id")
-            .agg(F.sum("capacity").alias("deg"))
-        )
-        shape = degree.groupBy(*whole).agg(F.count("*").alias("n"), F.min("deg").alias("min_deg"))
-        shape = shape.join(big.groupBy(*whole).agg(F.min("ns").alias("min_ns")), whole)
-        tight = shape.where((F.col("min_ns") > accept_ns) | (F.col("n") <= alpha)).select(*whole)
-        share = shared_neighbours(big, whole)
-        weighed = big.join(share, [*whole, "a", "b"], "left").withColumn(
-            "share",
-            F.when(F.col("a") == F.col("b"), F.lit(1))
-            .when((F.col("share") == 0) & (F.col("ns") > accept_ns), F.lit(1))
-            .otherwise(F.col("share")),
-        )
-        weighed = cut(weighed.withColumn("w", F.col("ns") * F.sqrt(F.col("share").cast("double"))))
-        comm = cut(_communities(weighed.join(tight, whole, "left_anti"), whole))
+        members = comp.join(big_keys.select(*whole), whole, "left_semi")
+        shape = cut(members.groupBy(*whole).agg(F.count("*").alias("n")).join(big_keys, whole))
+        open_ = shape.where((F.col("min_ns") <= accept_ns) & (F.col("n") > alpha)).select(*whole, "n")
+        doubtful = big.join(open_.select(*whole), whole, "left_semi")
+        loose = cut(_cut_off(doubtful, open_, whole, alpha).distinct())
+        cutting = cut(big.join(loose, whole, "left_semi"))
+        share = F.when(F.col("a") == F.col("b"), F.lit(1)).when(
+            (F.coalesce("share", F.lit(0)) == 0) & (F.col("ns") > accept_ns), F.lit(1)
+        ).otherwise(F.coalesce("share", F.lit(0)))
+        weight = F.floor(F.col("ns") * F.sqrt(share.cast("double")) * GRAIN).cast("bigint")
+        weighed = cutting.join(shared_neighbours(cutting, whole), [*whole, "a", "b"], "left").withColumn("w", weight)
+        comm = cut(_communities(cut(weighed.select(*whole, "a", "b", "w")), whole))
+        parted = cut(comm.groupBy(*whole).agg(F.count_distinct("comm").alias("parts")).where("parts > 1").select(*whole))
+        settled = members.join(parted, whole, "left_anti")
+        results.append(cut(settled.select(*keys, "id", F.col("piece").alias("cluster"))))
         ca = comm.withColumnsRenamed({"id": "a", "comm": "ca"})
         cb = comm.withColumnsRenamed({"id": "b", "comm": "cb"})
-        crossed = weighed.join(ca, [*whole, "a"]).join(cb, [*whole, "b"])
-        # A piece is kept whole when no community is cut off by less than the bound.
-        out = crossed.where("ca <> cb")
-        per_comm = (
-            out.select(*whole, F.col("ca").alias("c"), "capacity")
-            .unionAll(out.select(*whole, F.col("cb").alias("c"), "capacity"))
-            .groupBy(*whole, "c")
-            .agg(F.sum("capacity").alias("cut"))
-        )
-        weakest = per_comm.groupBy(*whole).agg(F.min("cut").alias("cut"))
-        loose = weakest.join(shape, whole).where(F.least("cut", "min_deg") < F.col("n") / F.lit(float(alpha)))
-        loose = cut(loose.select(*whole))
-        settled = comp.join(big_keys, whole, "left_semi").join(loose, whole, "left_anti")
-        results.append(settled.select(*keys, "id", F.col("component").alias("cluster")))
-        kept = crossed.join(loose, whole, "left_semi").where("ca = cb")
-        touched = kept.select(*keys, F.col("a").alias("id")).union(kept.select(*keys, F.col("b").alias("id"))).distinct()
-        bare = comp.join(loose, whole, "left_semi").join(touched, [*keys, "id"], "left_anti")
-        results.append(bare.select(*keys, "id", F.col("id").alias("cluster")))
+        kept = cutting.join(parted, whole, "left_semi").join(ca, [*whole, "a"]).join(cb, [*whole, "b"]).where("ca = cb")
         left = cut(kept.select(*keys, "a", "b", "na", "nb", "ns", "capacity"))
-        if left.isEmpty():
-            break
-    else:
-        raise RuntimeError("graph pieces did not settle")
+        touched = left.select(*keys, F.col("a").alias("id")).union(left.select(*keys, F.col("b").alias("id"))).distinct()
+        bare = members.join(parted, whole, "left_semi").join(touched, [*keys, "id"], "left_anti")
+        results.append(cut(bare.select(*keys, "id", F.col("id").alias("cluster"))))
     out = results[0]
     for part in results[1:]:
         out = out.unionByName(part)

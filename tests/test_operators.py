@@ -1,7 +1,6 @@
 """Operator tests: both routes of size-checked operators agree; brute force on small data."""
 
 import math
-import os
 import random
 from dataclasses import replace
 
@@ -10,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isoquilt.config import UmiConfig
-from isoquilt.functions import stats
+from isoquilt.functions import communities, stats
 from isoquilt.operators import barcode, graph, psi, sizes, umi
 from isoquilt.session import codes, ordinal, running_totals
 
@@ -53,17 +52,44 @@ def test_components_of_both_routes(spark):
     assert far[("g", 60)] == 0 and far[("h", 6)] == 5
 
 
-@pytest.mark.skipif(not os.environ.get("ISOQUILT_SLOW"), reason="many small jobs, minutes on one machine")
-def test_oversize_graph_is_cut_like_a_small_one(spark):
+def _random_graphs(rng, graphs=2):
+    """Graphs with dense blocks and a few edges between them, as (k, a, b, na, nb, ns, capacity)."""
+    rows = []
+    for g in range(graphs):
+        n = rng.randint(9, 16)
+        ids = rng.sample(range(-500, 500), n)
+        reads, block = {v: rng.randint(1, 4) for v in ids}, {v: rng.randint(0, 2) for v in ids}
+        for i, a in enumerate(ids):
+            if reads[a] > 1 and rng.random() < 0.5:
+                pairs = reads[a] * (reads[a] - 1) // 2
+                rows.append((f"g{g}", a, a, reads[a], reads[a], 12 * pairs, pairs))
+            for b in ids[i + 1 :]:
+                if rng.random() < (0.8 if block[a] == block[b] else 0.1):
+                    lo, hi = min(a, b), max(a, b)
+                    pairs = reads[lo] * reads[hi]
+                    rows.append((f"g{g}", lo, hi, reads[lo], reads[hi], rng.randint(5, 12) * pairs, pairs))
+    return rows
+
+
+def test_every_graph_size_follows_one_rule(spark):
+    """Solved in tasks, by joins, or partly both: the labels are the same."""
     def clique(lo, n):
-        return [("g", i, j, 1, 1, 10, 1) for i in range(lo, lo + n) for j in range(i + 1, lo + n)]
-
-    rows = clique(0, 8) + clique(20, 8) + [("g", 0, 20, 1, 1, 5, 1)]
-    edges = spark.createDataFrame(rows, "k string, a bigint, b bigint, na bigint, nb bigint, ns bigint, capacity bigint")
-    small = {r.id: r.cluster for r in graph.cluster_graphs(edges, ["k"], 3, 10, 10_000).collect()}
-    large = {r.id: r.cluster for r in graph.cluster_graphs(edges, ["k"], 3, 10, 10).collect()}
-    assert small == large
-    assert set(small.values()) == {0, 20}
+        return [("c", i, j, 1, 1, 10, 1) for i in range(lo, lo + n) for j in range(i + 1, lo + n)]
+
+    rows = _random_graphs(random.Random(12)) + clique(0, 7) + clique(20, 7) + [("c", 0, 20, 1, 1, 5, 1)]
+    edges = spark.createDataFrame(rows, "k string, a bigint, b bigint, na bigint, nb bigint, ns bigint, capacity bigint").cache()
+    found = [
+        {(r.k, r.id): r.cluster for r in graph.cluster_graphs(edges, ["k"], 3, 10, bound).collect()} for bound in (1 << 40, 50, 5)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert {c for (k, _), c in found[0].items() if k == "c"} == {0, 20}
+    assert len({c for (k, _), c in found[0].items() if k != "c"}) > 3
+
+
+def test_ties_follow_sparks_hash(spark):
+    pairs = [(v, c) for v in (0, 5, -7, 2**62, -(2**63)) for c in (1, -3, 2**61)]
+    made = spark.createDataFrame(pairs, "v bigint, c bigint").select("v", "c", F.xxhash64("v", "c").alias("h")).collect()
+    assert all(communities.tie(r.v, r.c) == r.h for r in made)
 
 
 def test_barcode_join_matches_full_scan(spark):
