@@ -21,12 +21,16 @@ def trim_to_last_run(seq: Column, base: str = "A", run: int = 10) -> Column:
 
 
 def has_polya(seq: Column, window: int = 20, count: int = 15) -> Column:
-    """Some window of ``window`` bases holds ``count`` A's; the very last window is not tested."""
+    """Some window of ``window`` bases holds ``count`` A's; the very last window is not tested.
+
+    Texts with fewer A's in all are told apart first, without looking at windows.
+    """
+    enough = F.length(seq) - F.length(F.replace(seq, F.lit("A"), F.lit(""))) >= count
     rich = F.exists(
         F.sequence(F.lit(1), F.length(seq) - window),
         lambda i: F.length(F.replace(F.substring(seq, i, F.lit(window)), F.lit("A"), F.lit(""))) <= window - count,
     )
-    return F.when(F.length(seq) > window, rich).otherwise(F.lit(False))
+    return F.when((F.length(seq) > window) & enough, rich).otherwise(F.lit(False))
 
 
 def gc_percent(seq: Column) -> Column:

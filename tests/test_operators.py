@@ -100,11 +100,17 @@ def test_barcode_join_matches_full_scan(spark):
         b = list(rng.choice(bars))
         b[rng.randrange(16)] = rng.choice("ACGT")
         reads.append((f"r{i}", "".join(rng.choice("ACGT") for _ in range(20)) + "".join(b) + "ACGTACGTAC"))
+    # every read holds the same adapter; two barcodes hold a part of it
+    adapter = "CTACACGACGCTCTTCCGATCT"
+    bars += [adapter[2:18], adapter[4:20]]
+    reads = [(n, adapter + t) for n, t in reads] + [("short", "ACGTAC"), ("odd", "NNNN" + bars[0] + "XACGT"), ("r0", adapter + reads[0][1])]
     wl = spark.createDataFrame([(b,) for b in bars], "barcode string")
-    got = {
-        (r.read_name, r.barcode): r.cos
-        for r in barcode.cosine_pairs(spark.createDataFrame(reads, "read_name string, seq string"), wl).collect()
-    }
+    texts = spark.createDataFrame(reads, "read_name string, seq string")
+    got, joined = (
+        {(r.read_name, r.barcode): r.cos for r in barcode.cosine_pairs(texts, wl, broadcast_limit=limit).collect()}
+        for limit in (barcode.BROADCAST_BARCODES, 0)
+    )
+    assert got == joined
 
     def grams(s):
         return {s[i : i + 8] for i in range(len(s) - 7)}
