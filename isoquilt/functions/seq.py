@@ -23,14 +23,22 @@ def trim_to_last_run(seq: Column, base: str = "A", run: int = 10) -> Column:
 def has_polya(seq: Column, window: int = 20, count: int = 15) -> Column:
     """Some window of ``window`` bases holds ``count`` A's; the very last window is not tested.
 
-    Texts with fewer A's in all are told apart first, without looking at windows.
+    Texts with fewer A's in all are told apart first.  A window that begins with another letter can be
+    moved on without losing an A, so only those that begin with one are counted, and the last.
     """
-    enough = F.length(seq) - F.length(F.replace(seq, F.lit("A"), F.lit(""))) >= count
-    rich = F.exists(
-        F.sequence(F.lit(1), F.length(seq) - window),
-        lambda i: F.length(F.replace(F.substring(seq, i, F.lit(window)), F.lit("A"), F.lit(""))) <= window - count,
-    )
-    return F.when((F.length(seq) > window) & enough, rich).otherwise(F.lit(False))
+
+    def rich(text):
+        last = F.length(text) - window
+        letters = lambda i: F.replace(F.substring(text, i, F.lit(window)), F.lit("A"), F.lit(""))
+        return F.exists(
+            F.sequence(F.lit(1), last),
+            lambda i: ((F.substring(text, i, F.lit(1)) == "A") | (i == last)) & (F.length(letters(i)) <= window - count),
+        )
+
+    enough = F.length(F.replace(seq, F.lit("A"), F.lit(""))) <= F.length(seq) - count
+    # the text is bound once; inside the test of a window it would be worked out for every window
+    bound = F.element_at(F.transform(F.array(seq), rich), 1)
+    return F.when((F.length(seq) > window) & enough, bound).otherwise(F.lit(False))
 
 
 def gc_percent(seq: Column) -> Column:

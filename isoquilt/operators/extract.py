@@ -165,7 +165,7 @@ def viewed(reads: DataFrame, views: dict) -> DataFrame:
     """
     fwd, rev = soft_clips(F.col("cigar"), F.col("seq"))
     both = {f"{n}{s}": view(fwd, rev, F.lit(s)) for n, view in views.items() for s in "+-"}
-    return reads.select(*[c for c in reads.columns if c != "seq"], *[c.alias(n) for n, c in both.items()])
+    return (compute_once(reads, **both) if both else reads).drop("seq")
 
 
 def picked(joined: DataFrame, views: dict) -> DataFrame:
