@@ -24,9 +24,9 @@ def longread_counts(spark, sf):
     """WITH o AS (SELECT value, (row_number() OVER (ORDER BY ts, event_id) - 1) // 100 AS batch FROM events),
     b AS (SELECT batch, count(*) AS c, sum(value) AS s, sum(value * value) AS q FROM o GROUP BY batch),
     r AS (SELECT batch, sum(c) OVER w AS n, sum(s) OVER w AS s, sum(q) OVER w AS q FROM b WINDOW w AS (ORDER BY batch))
-    SELECT batch, n::bigint AS n, round(s / n, 6) AS mu,
+    SELECT batch, n::bigint AS n, round(s / n, 10) AS mu,
         round(sqrt((q - s * s / n) / (n - 1) * (n + 1) / (n + 0.5::double)) + 10.0::double / n, 6) AS sigma FROM r""",
 )
 def bm_learnt_priors(spark, sf):
     out = adaptive.learnt_priors(tb.table(spark, sf, "events"), ["ts", "event_id"], "value")
-    return out.select("batch", "n", F.round("mu", 6).alias("mu"), F.round("sigma", 6).alias("sigma"))
+    return out.select("batch", "n", F.round("mu", 10).alias("mu"), F.round("sigma", 6).alias("sigma"))
