@@ -325,3 +325,33 @@ def um_cell_loop(spark, sf):
         .groupBy("gene", "cell")
         .agg(F.count_distinct("cluster").alias("molecules"), F.sum("n").alias("reads"))
     )
+
+
+# What every clustering must keep: reads and nodes of a cell, clusters inside one component, and
+# components of up to three nodes (the bound of the cut) in one piece.
+@query(
+    "um_cluster_check",
+    "umi_cc nodes",
+    """, c AS (SELECT gene, cell, component, count(*) AS size FROM umi_cc GROUP BY gene, cell, component),
+    k AS (SELECT gene, cell, count(*) AS components, count(*) FILTER (size <= 3) AS small FROM c GROUP BY gene, cell)
+    SELECT gene, cell, nodes, reads, components, small, small AS small_whole, 0::bigint AS crossing
+    FROM k JOIN (SELECT gene, cell, count(*) AS nodes, sum(n)::bigint AS reads FROM nodes GROUP BY gene, cell) USING (gene, cell)""",
+)
+def um_cluster_check(spark, sf):
+    nodes = cut(_nodes(spark, sf))
+    clustered = umi.cluster(nodes, CFG)
+    parts = graph.connected_components(umi.similar_edges(nodes, CFG), umi.KEYS)
+    both = cut(
+        clustered.join(parts, [*umi.KEYS, "id"], "left").withColumn("component", F.coalesce("component", "id"))
+    )
+    per = both.groupBy(*umi.KEYS, "component").agg(F.count("*").alias("size"), F.count_distinct("cluster").alias("clusters"))
+    small = F.col("size") <= CFG.cut_alpha
+    shape = per.groupBy(*umi.KEYS).agg(
+        F.count("*").alias("components"),
+        F.count_if(small).alias("small"),
+        F.count_if(small & (F.col("clusters") == 1)).alias("small_whole"),
+    )
+    spread = both.groupBy(*umi.KEYS, "cluster").agg(F.count_distinct("component").alias("c"))
+    crossing = spread.groupBy(*umi.KEYS).agg(F.count_if(F.col("c") > 1).alias("crossing"))
+    sums = both.groupBy(*umi.KEYS).agg(F.count("*").alias("nodes"), F.sum("n").alias("reads"))
+    return sums.join(shape, umi.KEYS).join(crossing, umi.KEYS)
