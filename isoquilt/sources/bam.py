@@ -42,9 +42,11 @@ def blocks(handle, low: int):
     while True:
         handle.seek(at)
         data = handle.read(BLOCK_MAX)
-        size = block_at(data, 0) if len(data) >= 18 else None
-        if size is None:
+        if not data:
             return
+        size = block_at(data, 0) if len(data) >= 18 else None
+        if size is None or size > len(data):
+            raise ValueError(f"damaged or cut-off block at byte {at}")
         yield at, zlib.decompress(data[18 : size - 8], -15)
         at += size
 

@@ -7,6 +7,7 @@ lost executor replaces its own output and nothing else.
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,10 @@ def _prior(spark, path: str, batch_id: int, cfg: BarcodeConfig):
     """Position prior from the sums of all earlier batches."""
     try:
         sums = spark.read.schema("n bigint, s double, q double, batch bigint").parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    except AnalysisException as error:
+        # before the first batch nothing is written; any other failure must not reset the prior
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return cfg.mu, cfg.sigma
     row = sums.where(F.col("batch") < batch_id).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
     if not row["n"] or row["n"] < 2:

@@ -1,5 +1,6 @@
 """Sources, sinks, the stream, the command line."""
 
+import pytest
 import struct
 import zlib
 
@@ -101,3 +102,23 @@ def test_stream_learns_the_position(spark, tmp_path):
 def test_command_line():
     opt = parser().parse_args(["count", "--cells", "x", "-o", "y", "--ulen", "12"])
     assert (opt.stage, opt.ulen, opt.blen) == ("count", 12, 16)
+
+
+def test_damaged_blocks_are_errors():
+    import io
+    import struct
+    import zlib
+
+    from isoquilt.sources import bam
+
+    def block(content):
+        packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = packer.compress(content) + packer.flush()
+        head = struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
+        return head + body + struct.pack("<II", zlib.crc32(content), len(content))
+
+    good = block(b"one" * 50) + block(b"two" * 50)
+    assert [c for _, c in bam.blocks(io.BytesIO(good), 0)] == [b"one" * 50, b"two" * 50]
+    for bad in (good[:-5], good + b"junk" * 10, block(b"one" * 50) + b"\0" * 40 + block(b"two" * 50)):
+        with pytest.raises(ValueError):
+            list(bam.blocks(io.BytesIO(bad), 0))
