@@ -53,8 +53,13 @@ LOOSE = {
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20._-]{1,2}[0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9])(?:00[0-9]{1,3}\x20?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])[0-9]{3}[-.\x20][0-9]{4}(?![0-9])",
 }
-# A text without this cannot hold the kind.
-GATE = {"email": r"(?i)@|[(\[{]\x20?at\x20?[)\]}]", "ip": "[0-9A-Fa-f][.:]", "card": "[0-9]{2}", "phone": "[0-9]{2}"}
+# A text without this cannot hold the kind: each follows from both patterns of the kind.
+GATE = {
+    "email": r"(?i)@|[(\[{]\x20?at\x20?[)\]}]",
+    "ip": "[0-9A-Fa-f][.:]",
+    "card": r"[0-9][\x20-]?[0-9]",
+    "phone": r"\+[0-9]|[0-9]{3}",
+}
 CUES = r"(?i)(?:mail|tel|phone|call|fax|card|visa|account|server|host|addr|contact|kontakt|llam|appel)"
 _SPAN = "array<struct<kind:int,start:int,stop:int,found:string>>"
 

@@ -53,6 +53,20 @@ def test_base_spans(spark):
     assert sorted(map(str, (tuple(r)[:6] for r in got))) == sorted(map(str, want))
 
 
+def test_digits_written_one_by_one(spark):
+    """No two digits are adjacent, and nothing else in the text has digits."""
+    texts = [
+        " ".join("4111111111111111"), "pay -" + "-".join("4111111111111111") + " now", " ".join("4111111111111112"),
+        "+4 9 3 0 1 2 3 4 5", "+4-9-3-0-1-2-3-4-5-", "call +(4)", "+1 2 3", "1-2 3", "+4.9.3.0.1.2.3.4.5",
+    ]
+    assert sum(len(_base(t)) for t in texts) == 7
+    got = {r.doc_id: r for r in pii.report(documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    for i, text in enumerate(texts):
+        written = ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(_base(text), key=lambda s: pii.KINDS.index(s[0])))
+        assert got[i].spans == written
+        assert got[i].base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+
+
 def test_method_adds_what_looks_alike(spark):
     """Numbers with a plus teach that the same number without one is a phone number as well."""
     rows = [(i, f"call me at +1 (456) 555-{1000 + i} today", "en", "a") for i in range(400)]
