@@ -1,7 +1,7 @@
 """Line dedup: a line goes if an earlier line equals it up to ``MAX_EDITS`` edits.
 
-Lines are compared without white space at their ends; order is document id, then place in the
-document.  Equal lines meet by hash.  For lines that differ by one edit, the variants with one
+Lines are compared without white space at their ends; order is document id, then a hash of the text,
+then place in the document.  Equal lines meet by hash.  For lines that differ by one edit, the variants with one
 character deleted meet by hash: lines of equal length that agree after the same place is deleted,
 and a whole line with a longer one that equals it after a deletion.  Each group of
 equal variants is reduced to its earliest members, never to pairs, and the edit distance of a line to
@@ -15,9 +15,14 @@ costs four half keys, and ``n / BLOCKS`` variants for each block that may match.
 
 Defined results: blank lines always stay, and lines under ``MIN_CHARS`` characters go only if equal
 to an earlier one; a line goes also if the earlier line itself goes; null texts stay null; a text that
-loses all lines becomes empty, and its row stays; rows that repeat an id count as the
-same place, so equal ones keep the same lines; a null id comes last; an empty table gives an empty
-result; all columns are kept, and helper columns live in tables of their own.
+loses all lines becomes empty, and its row stays; rows equal in id and text count as the same place,
+so they keep the same lines; rows that share an id or have none, but differ in their texts, are places
+of their own; a null id comes last; an empty table gives an empty result; all columns are kept, and
+helper columns live in tables of their own.
+
+A document is named by 95 bits of a hash of its text besides its id.  In the order of the lines 31 of them
+tell texts of one id apart (94 if the id is null): should those agree, lines that both texts
+hold at one number stay in both.
 """
 
 import numpy as np
@@ -40,20 +45,41 @@ PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1664525221)
 
 
-def _position(doc_id: Column, line: Column) -> Column:
-    """Place of a line in the order of all lines, one number."""
-    last = F.coalesce(doc_id, F.lit((1 << 63) - 1))
-    return last.cast("decimal(20,0)") * F.lit(LINES).cast("decimal(11,0)") + line.cast("decimal(10,0)")
+def _whole(value: Column, digits: int) -> Column:
+    return value.cast(f"decimal({digits},0)")
+
+
+def _begin() -> Column:
+    """Place of a document in the order of all lines, a multiple of ``LINES``: its id or else a hash, then a hash."""
+    # a null id comes after the largest one
+    unnamed = _whole(F.lit(1 << 62), 20) * 2 + _whole(_text_hash().bitwiseAND(F.lit((1 << 63) - 1)), 20)
+    tie = F.xxhash64(F.lit(1), "text").bitwiseAND(F.lit(LINES - 1))
+    named = F.coalesce(_whole(F.col("doc_id"), 20), _whole(unnamed, 20))
+    return _whole((named * _whole(F.lit(LINES), 11) + _whole(tie, 10)) * _whole(F.lit(LINES), 11), 38)
+
+
+def _text_hash() -> Column:
+    return F.xxhash64("text")
+
+
+def _line(pos: Column) -> Column:
+    return F.pmod(pos, _whole(F.lit(LINES), 11))
+
+
+def _begin_of(pos: Column) -> Column:
+    return _whole(pos - _line(pos), 38)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, content, h1, h2, pos) of every line that is not blank."""
-    each = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
+    """(doc, content, h1, h2, pos) of every line that is not blank; ``doc`` is a hash of its whole text."""
+    # once a document, before its lines
+    placed = docs.select("text", _text_hash().alias("doc"), _begin().alias("begin"))
+    each = placed.select("doc", "begin", F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
     each = each.withColumn("content", F.btrim("content", F.lit(SPACES))).where("content <> ''")
     return each.select(
-        "doc_id", "line", "content",
+        "doc", "content",
         F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(1), "content").alias("h2"),
-        _position(F.col("doc_id"), F.col("line")).alias("pos"),
+        _whole(F.col("begin") + _whole(F.col("line"), 10), 38).alias("pos"),
     )
 
 
@@ -194,8 +220,8 @@ def near_lines(docs: DataFrame, different: DataFrame) -> DataFrame:
     named = cut(_shared(halves).select("h1", "h2", "pos").distinct())
     rows = named.count()
     # the text of a line is taken at its earliest place
-    ids = (named.select((F.col("pos") - F.pmod(F.col("pos"), F.lit(LINES).cast("decimal(11,0)"))).alias("begin")).distinct())
-    wanted = docs.withColumn("begin", _position(F.col("doc_id"), F.lit(0)))
+    ids = named.select(_begin_of(F.col("pos")).alias("begin")).distinct()
+    wanted = docs.withColumn("begin", _begin())
     wanted = wanted.join(small_side(ids, rows), wanted["begin"] == ids["begin"], "left_semi")
     found = lines_of(wanted).select("h1", "h2", "pos", "content")
     survivors = cut(found.join(small_side(named, rows), ["h1", "h2", "pos"], "left_semi").dropDuplicates(["h1", "h2"]))
@@ -212,7 +238,7 @@ def near_lines(docs: DataFrame, different: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, lines): numbers of the lines that go, for each id that loses some."""
+    """(begin, doc, lines): numbers of the lines that go, for each id and text that loses some."""
     source = docs.select("doc_id", "text")
     different = cut(distinct_lines(source))
     near = near_lines(source, different).select("h1", "h2", F.lit(True).alias("near"))
@@ -221,17 +247,18 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     # a line that goes altogether has no place that stays
     # kept, so that both sides of the join are plain exchanges and a very common line can be split
     several = cut(several.select("h1", "h2", F.when(F.col("near").isNull(), F.col("pos")).alias("stays")))
-    each = lines_of(source).select("doc_id", "line", "h1", "h2", "pos")
+    each = lines_of(source).select("doc", "h1", "h2", "pos")
     gone = each.join(several, ["h1", "h2"]).where("stays is null or pos <> stays")
-    return gone.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    gone = gone.select(_begin_of(F.col("pos")).alias("begin"), "doc", _line(F.col("pos")).cast("int").alias("line"))
+    return gone.groupBy("begin", "doc").agg(F.collect_set("line").alias("lines"))
 
 
 def _applied(docs: DataFrame) -> DataFrame:
     """(row, text, gone): each row of ``docs`` as one value, what is left of its text, how many lines went."""
     # what goes grows with the table, so texts and line numbers meet by a shuffle at every size
     gone = dropped_lines(docs)
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    both = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("doc_id")), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _begin().alias("begin"), _text_hash().alias("doc"))
+    both = rows.join(gone, ["begin", "doc"], "left")
     lines = F.split("row.text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("lines"))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")

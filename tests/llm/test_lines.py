@@ -67,6 +67,20 @@ def test_odd_rows(spark):
     _check(spark, templates)
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    """Each row with a text of its own loses its own lines only, and each line stays once."""
+    for doc_id in (5, None):
+        rows = [(1, "common line here\nalone in the first", "en", "a")]
+        rows += [(doc_id, f"own line {i * 7919:08x} {'abcdefghij'[i] * 9}\ncommon line here\nshared tail text", "en", "a") for i in range(10)]
+        rows += [(doc_id, f"common line here\nonly {'klmnopqrst'[i] * 12} here\nfirst in null rows", "en", "a") for i in range(10)]
+        got = [r.text for r in lines.deduplicated(documents(spark, rows)).collect()]
+        left = sorted(line for text in got for line in text.split("\n") if line)
+        assert len(got) == len(rows) and left == sorted({line for _, text, *_ in rows for line in text.split("\n")})
+    ends = [((1 << 63) - 1, "the line of the end"), (None, "the line of the end"), (-(1 << 63), "another line, of the begin")]
+    got = lines.report(spark.createDataFrame(ends, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == {ends[0][0]: ends[0][1], None: "", ends[2][0]: ends[2][1]}
+
+
 def test_empty_table(spark):
     assert lines.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     only = lines.report(spark.createDataFrame([(1, "same line here\nsame line here")], "doc_id long, text string"))
