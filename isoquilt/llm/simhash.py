@@ -31,11 +31,11 @@ DENSE = 4096
 _BIT = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def simhash(text: str | None, shingle: int) -> int:
-    """Unsigned 64-bit fingerprint of one text."""
+def shingle_hashes(text: str | None, shingle: int) -> list[int]:
+    """Unsigned 64-bit hashes of the shingles of one text, in their order."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return []
     flat = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -44,7 +44,14 @@ def simhash(text: str | None, shingle: int) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(flat[s:e], 42) for s, e in zip(starts.tolist(), ends.tolist())]
+    return [digest(flat[s:e], 42) for s, e in zip(starts.tolist(), ends.tolist())]
+
+
+def simhash(text: str | None, shingle: int) -> int:
+    """Unsigned 64-bit fingerprint of one text."""
+    hashes = shingle_hashes(text, shingle)
+    if not hashes:
+        return 0
     octets = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
     seen = np.bincount((octets + 256 * np.arange(8)).ravel(), minlength=2048).reshape(8, 256)
     ones = (seen @ _BIT).ravel()
@@ -165,12 +172,8 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` that name their component; of rows that repeat an id one stays.
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each group of near copies, by the pipeline's own measure and not by fingerprints."""
+    from isoquilt.llm import near_copies
 
-    Rows without an id have no name to be kept under and stay.
-    """
-    classes = near_duplicates(docs, shingle=shingle, radius=radius)
-    named = classes.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return first.join(named, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return near_copies.one_of_each(docs)
