@@ -1,6 +1,6 @@
 """Queries of the operators on conversations, phrases and repeated passages."""
 
-from isoquilt.llm import trie
+from isoquilt.llm import passages, phrases, trie
 from isoquilt.llm.registry import query, table
 
 _TRIE_SQL = r"""
@@ -41,6 +41,75 @@ FROM nodes n JOIN sums s USING (node) LEFT JOIN children c USING (node) LEFT JOI
 """
 
 
+_PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, d, unnest(ps) AS piece, unnest(range(len(ps))) AS p
+  FROM (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d, regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+    FROM documents)),
+worded AS (
+  SELECT lang, d, p, unnest(w) AS w1, unnest(range(len(w))) AS i
+  FROM (SELECT lang, d, p, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces)),
+following AS (SELECT lang, w1, lead(w1) OVER piece_words AS w2, lead(w1, 2) OVER piece_words AS w3 FROM worded
+  WINDOW piece_words AS (PARTITION BY d, p ORDER BY i)),
+grams AS (
+  SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM following GROUP BY lang, w1
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM following WHERE w2 IS NOT NULL GROUP BY lang, w1 || ' ' || w2
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM following WHERE w3 IS NOT NULL
+    GROUP BY lang, w1 || ' ' || w2 || ' ' || w3),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+cuts AS (
+  SELECT p.lang, p.k, p.phrase, p.f, c,
+    array_to_string(string_split(p.phrase, ' ')[1:c], ' ') AS first_part, array_to_string(string_split(p.phrase, ' ')[c + 1:], ' ') AS rest
+  FROM grams p, (VALUES (1), (2)) AS places(c) WHERE p.k > c AND p.f >= 10),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.f, c.c, x.f AS l, y.f AS r,
+    CAST(1000000 * CAST(c.f AS HUGEINT) * c.f // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.k = c.c AND x.phrase = first_part
+  JOIN grams y ON y.lang = c.lang AND y.k = c.k - c.c AND y.phrase = rest),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS nth FROM scored),
+longer AS (
+  SELECT lang, part, max(f) AS f FROM (
+    SELECT lang, f, array_to_string(string_split(phrase, ' ')[1:2], ' ') AS part FROM grams WHERE k = 3 AND f >= 10
+    UNION ALL SELECT lang, f, array_to_string(string_split(phrase, ' ')[2:3], ' ') FROM grams WHERE k = 3 AND f >= 10)
+  GROUP BY lang, part),
+kept AS (
+  SELECT s.lang, s.phrase, s.f AS a, s.l, s.r, s.score FROM lowest s LEFT JOIN longer g ON g.lang = s.lang AND g.part = s.phrase
+  WHERE nth = 1 AND (k = 3 OR g.f IS NULL OR 100 * g.f < 50 * s.f)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+_PASSAGES_SQL = r"""
+WITH rows AS (SELECT doc_id, row_number() OVER () AS d, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+worded AS (SELECT doc_id, d, unnest(w) AS w, CAST(unnest(range(len(w))) AS BIGINT) AS i FROM rows),
+windows AS (
+  SELECT doc_id, d, i, CASE WHEN count(*) OVER ahead = 20 THEN md5(string_agg(w, ' ') OVER ahead) END AS h FROM worded
+  WINDOW ahead AS (PARTITION BY d ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+firsts AS (SELECT h, min((doc_id, i)) AS first FROM windows WHERE h IS NOT NULL GROUP BY h),
+judged AS (SELECT d, i, coalesce((doc_id, i) > first, false) AS again FROM windows LEFT JOIN firsts USING (h)),
+covered AS (
+  SELECT d, i, max(CAST(again AS INTEGER)) OVER (PARTITION BY d ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 1 AS gone FROM judged),
+kept AS (
+  SELECT d, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(w, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text
+  FROM covered JOIN worded USING (d, i) GROUP BY d)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM rows LEFT JOIN kept USING (d)
+"""
+
+
 @query("op11_trie", _TRIE_SQL)
 def _op11(spark, sf_dir):
     return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_phrases", _PHRASES_SQL)
+def _op12(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_passages", _PASSAGES_SQL)
+def _op13(spark, sf_dir):
+    return passages.without_repeats(table(spark, sf_dir, "documents"))
