@@ -1,6 +1,8 @@
 """Small helpers of the operators."""
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast up to this many rows; beyond, the join shuffles.
@@ -24,3 +26,12 @@ def word_count(text: Column) -> Column:
     spaced = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
     gaps = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit("")))
     return (gaps + (spaced != "").cast("int")).cast("long")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints that nothing refers to any more.
+
+    They go when the driver collects its garbage, which a job of a few long stages may not do for half an hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

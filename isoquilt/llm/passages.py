@@ -5,14 +5,13 @@ Windows are dealt to bins by their minimizer, the ``GRAM`` words of least hash i
 windows fall into one bin, and the consecutive windows of one minimizer, a stretch, are a path of edges.  A
 bin that has one stretch only is unique and goes.  Of the rest
 
-* a bin whose stretches are all of the same words has no branch: the path is compacted to one row, and its first source coordinate
-  gives those of all its edges;
-* in any other bin the graph branches: its stretches are taken apart into edges, and each edge is joined with its own
-  first coordinate.
+* stretches of the same words are compacted to one path, which keeps its first source coordinate: wherever the path
+  shows again, all its edges are repeated;
+* a bin with several paths is where the graph branches: the first stretch of each path is taken apart into edges,
+  read again at its source coordinate, and every edge is joined with the first coordinate of its like in other paths.
 
 Every stretch and edge that has an earlier coordinate is a repeated span; the spans of a document, glued
-where they touch, are what goes.  The words of branching
-bins are read again at their source coordinates.  An edge is known by 64 bits within a bin named by 64 other bits.
+where they touch, are what goes.  A path or an edge is known by 64 bits within a bin named by 64 other bits.
 
 Windows are judged on the input; coordinates are ordered by doc_id (null last), start, then a hash of the text.
 
@@ -28,10 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isoquilt.llm.common import release
 from isoquilt.session import cut
 
 WINDOW = 20
@@ -44,6 +45,10 @@ BLOCK_BYTES = 8 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _FACTORS = np.random.default_rng(13).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = int(_FACTORS[-1])
+#: Numbers of words and rows side by side in one number.
+_ROOM = 1 << 40
+#: Bits for the places of one block.
+_PLACES = np.uint64((1 << 26) - 1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -96,17 +101,17 @@ class Block:
 
     def stretches(self, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place, number of windows, minimizer) of runs of windows with one minimizer."""
-        at = self.windows(window)
-        grams = run_hashes(self.words, gram)
-        least, where = grams[at], at.copy()
-        for k in range(1, window - gram + 1):
-            other = grams[at + k]
-            less = other < least
-            least = np.where(less, other, least)
-            where = np.where(less, at + k, where)
+        grams, at = run_hashes(self.words, gram), self.windows(window)
+        # upper bits of the hash, then the place: of equal ones the first is the least
+        least = (grams & ~_PLACES) | np.arange(len(grams), dtype=np.uint64)
+        held, wide = 1, window - gram + 1
+        while held < wide:
+            step = min(held, wide - held)
+            least, held = np.minimum(least[: max(0, len(least) - step)], least[step:]), held + step
+        where = (least[at] & _PLACES).astype(np.int64)
         # windows of different texts never follow each other
         new = np.flatnonzero(np.concatenate((np.ones(min(1, len(at)), bool), (where[1:] != where[:-1]) | (at[1:] != at[:-1] + 1))))
-        return at[new], np.diff(np.append(new, len(at))), least[new]
+        return at[new], np.diff(np.append(new, len(at))), grams[where[new]]
 
     def source(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, number of the word in its text) of places."""
@@ -166,37 +171,35 @@ def _stretches(docs: DataFrame, window: int, gram: int, whole: bool, most: tuple
 
 
 def _edges(docs: DataFrame, asked: DataFrame, window: int, most: tuple) -> DataFrame:
-    """(doc_id, th, s, m, w): the windows of the stretches ``asked``, with the hash of each."""
+    """(doc_id, th, s, m, ws): the stretches ``asked``, each with the hashes of its windows."""
 
     def run(batches):
         for batch in batches:
-            spans = batch.column("spans").to_pylist()
+            listed = batch.column("spans")
+            of = np.repeat(np.arange(len(listed)), pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64))
+            flat = listed.flatten()
+            s, c, m = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            order = np.lexsort((s, of))
+            of, s, c, m = of[order], s[order], c[order].astype(np.int64), m[order]
             for block in blocks(batch.column("text").to_pylist(), window, *most):
                 place = block.windows(window)
                 row, start = block.source(place)
-                named = run_hashes(block.words, window)
-                for r in np.unique(row).tolist():
-                    lo, hi = np.searchsorted(row, [r, r + 1])
-                    mine = start[lo:hi]
-                    s = np.array([x["s"] for x in spans[r]], dtype=np.int64)
-                    order = np.argsort(s)
-                    s, c = s[order], np.array([x["c"] for x in spans[r]], dtype=np.int64)[order]
-                    m = np.array([x["m"] for x in spans[r]], dtype=np.int64)[order]
-                    k = np.searchsorted(s, mine, side="right") - 1
-                    inside = (k >= 0) & (mine < s[k] + c[k])
-                    n = int(inside.sum())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([batch.column("doc_id")[r].as_py()] * n, pa.int64()), pa.array([batch.column("th")[r].as_py()] * n, pa.int64()),
-                            pa.array(mine[inside]), pa.array(m[k[inside]]), _signed(named[place[lo:hi][inside]]),
-                        ],
-                        ["doc_id", "th", "s", "m", "w"],
-                    )
-
-    listed = asked.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "c", "m")).alias("spans"))
-    # equal rows are one document
-    rows = _with_lists(docs, listed, "inner").dropDuplicates(["doc_id", "th"]).select("doc_id", "th", "text", "spans")
-    return rows.mapInArrow(run, "doc_id long, th long, s long, m long, w long")
+                # the last stretch of its row that starts at a window or before
+                k = np.searchsorted(of * _ROOM + s, row * _ROOM + start, side="right") - 1
+                inside = (k >= 0) & (of[k] == row) & (start < s[k] + c[k])
+                row, start, k = row[inside], start[inside], k[inside]
+                named = run_hashes(block.words, window)[place[inside]]
+                new = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), k[1:] != k[:-1])))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(k)).astype(np.int32)), _signed(named))
+                at = pa.array(row[new])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(start[new]), pa.array(m[k[new]]), lists],
+                    ["doc_id", "th", "s", "m", "ws"],
+                )
+
+    listed = asked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("s", "c", "m")).alias("spans"))
+    rows = _with_lists(docs, listed, "inner").select("doc_id", "th", "text", "spans")
+    return rows.mapInArrow(run, "doc_id long, th long, s long, m long, ws array<long>")
 
 
 def _with_lists(docs: DataFrame, listed: DataFrame, how: str) -> DataFrame:
@@ -219,23 +222,32 @@ def repeated_spans(
 
     ``th`` tells rows of one id apart: xxhash64 of the text.
     """
-    rows, most = _named(docs), (block_words, block_bytes)
+    rows, most, spark = _named(docs), (block_words, block_bytes), docs.sparkSession
     bins = cut(_stretches(rows, window, gram, False, most).groupBy("m").count().where("count > 1").select("m"))
     shared = cut(_stretches(rows, window, gram, True, most).join(bins, "m", "left_semi"))
+    release(spark)
     at = _coordinate()
-    kinds = cut(shared.groupBy("m").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.min(at).alias("first")))
-    # paths without a branch
-    paths = shared.join(kinds.where("low = high").select("m", "first"), "m").where(at > F.col("first")).select("doc_id", "th", "s", "c")
-    branching = shared.join(kinds.where("low < high").select("m"), "m", "left_semi").select("doc_id", "th", "s", "c", "m")
-    edges = cut(_edges(rows, branching, window, most))
+    paths = cut(shared.groupBy("m", "h").agg(F.min(at).alias("first"), F.first("c").alias("c")))
+    again = shared.join(paths.select("m", "h", "first"), ["m", "h"]).where(at > F.col("first")).select("doc_id", "th", "s", "c")
+    again = cut(again)
+    del shared
+    release(spark)
+    branching = paths.groupBy("m").count().where("count > 1").select("m")
+    heads = paths.join(branching, "m", "left_semi").select("first.doc_id", "first.th", "first.s", "c", "m")
+    lists = cut(_edges(rows, heads, window, most))
+    release(spark)
+    edges = lists.select("doc_id", "th", "m", F.posexplode("ws").alias("k", "w"), F.col("s").alias("begin"))
+    edges = edges.select("doc_id", "th", (F.col("begin") + F.col("k")).alias("s"), "m", "w")
     firsts = edges.groupBy("m", "w").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("m", "w", "first")
     single = edges.join(firsts, ["m", "w"]).where(at > F.col("first")).select("doc_id", "th", "s", F.lit(1).alias("c"))
-    return paths.unionByName(single)
+    return again.unionByName(single)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, **options) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256): each text without the words that repeated windows cover."""
     spans = repeated_spans(docs, window, **options).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "c")).alias("spans"))
+    spans = cut(spans)
+    release(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
