@@ -32,7 +32,7 @@ SCALE = 1_000_000
 #: Extensions counted in one round, of all languages together.
 FRONTIER = 100_000
 #: Bytes of text that are counted at once.
-SLICE = 8 << 20
+SLICE = 2 << 20
 
 # A-Z to lower case, tab to space, piece ends to a byte that UTF-8 never holds.
 _BREAK = b"\xff"
@@ -152,8 +152,8 @@ def _counts(docs: DataFrame, of, least: int) -> DataFrame:
                     held.append((lang, part, seen))
                     size += len(part)
                     if size >= SLICE:
-                        yield from of(Counted(held))
-                        held, size = [], 0
+                        batch, held, size = Counted(held), [], 0
+                        yield from of(batch)
         if held:
             yield from of(Counted(held))
 
