@@ -25,12 +25,22 @@ def parser() -> argparse.ArgumentParser:
     stage("annotate", "gtf")
     s = stage("extract", "bam", "bed")
     s.add_argument("--toolkit", "-t", type=int, choices=(3, 5), default=5)
+    s.add_argument("--regions", help="chr1:101-200,chr2: alignments that overlap these; an index is used where there is one")
+    s = stage("subset", "bam", "names", "regions")
+    s.add_argument("--sort", action="store_true", help="sort the records, so that the files get an index")
     s = stage("match", "reads", "whitelist")
     s.add_argument("--cos-thresh", type=float, default=0.25)
     s.add_argument("--top", type=int, default=8)
     s = stage("count", "cells")
     for option, default in (("sim-thresh", 5), ("blen", 16), ("ulen", 10), ("flank", 1), ("site-thresh", 10)):
         s.add_argument("--" + option, type=int, default=default)
+    s = stage("cluster", "cells")
+    for option, default in (("sim-thresh", 5), ("blen", 16), ("ulen", 10), ("flank", 1)):
+        s.add_argument("--" + option, type=int, default=default)
+    s = stage("recount", "clusters")
+    s.add_argument("--ratio", type=float, help="share of reads of noisy barcodes; by default the one saved with the clusters")
+    s.add_argument("--site-thresh", type=int, default=10)
+    s.add_argument("--alpha", type=float, default=0.05)
     stage("exons", "counts", "bed")
     stage("matrix", "exons")
     s = stage("psi", "exons", "bed")
@@ -44,8 +54,8 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def alignments(spark, path):
-    return bam.read_bam(spark, path) if path.endswith("bam") else readers.read_sam(spark, path)
+def alignments(spark, path, **options):
+    return bam.read_bam(spark, path, **options) if path.endswith("bam") else readers.read_sam(spark, path)
 
 
 def main(argv=None) -> None:
@@ -57,8 +67,17 @@ def main(argv=None) -> None:
         writers.write_store(annotation.disjoint_parts(gtf), opt.out + "/gene_bed")
         writers.write_store(annotation.exon_dictionary(gtf), opt.out + "/exon_gtf")
     elif opt.stage == "extract":
-        reads = extract.exon_reads(alignments(spark, opt.bam), store(opt.bed), ReadConfig(toolkit=opt.toolkit))
+        options = {"regions": opt.regions} if opt.regions else {}
+        reads = extract.exon_reads(alignments(spark, opt.bam, **options), store(opt.bed), ReadConfig(toolkit=opt.toolkit))
         writers.write_store(reads, opt.out)
+    elif opt.stage == "subset":
+        names = spark.read.text(opt.names).select(F.trim("value").alias("read_name")).distinct()
+        text, references = bam.bam_header(opt.bam)
+        some = bam.read_bam(spark, opt.bam, regions=opt.regions, raw="true").join(names, "read_name", "left_semi")
+        if opt.sort:
+            order = F.create_map(*[F.lit(x) for k, (n, _) in enumerate(references) for x in (n, k)])[F.col("rname")]
+            some = some.withColumn("_at", order).sort("_at", "pos").drop("_at")
+        bam.write_bam(some, opt.out, references, text, index=opt.sort)
     elif opt.stage == "match":
         cfg = BarcodeConfig(cos_thresh=opt.cos_thresh, top=opt.top)
         reads = store(opt.reads)
@@ -70,6 +89,15 @@ def main(argv=None) -> None:
             site_thresh=opt.site_thresh, min_reads=opt.site_thresh,
         )
         writers.write_store(longread.count_molecules(store(opt.cells), cfg), opt.out)
+    elif opt.stage == "cluster":
+        cfg = UmiConfig(sim_thresh=opt.sim_thresh, barcode_len=opt.blen, umi_len=opt.ulen, flank=opt.flank)
+        clustered, ratio = longread.cluster_reads(store(opt.cells), cfg)
+        writers.write_store(clustered.withColumn("ratio", F.lit(ratio)), opt.out)
+    elif opt.stage == "recount":
+        clustered = store(opt.clusters)
+        ratio = opt.ratio if opt.ratio is not None else (clustered.agg(F.max("ratio")).first()[0] or 0.0)
+        cfg = UmiConfig(site_thresh=opt.site_thresh, size_alpha=opt.alpha)
+        writers.write_store(longread.recount_clusters(clustered.drop("ratio"), ratio, cfg), opt.out)
     elif opt.stage == "exons":
         writers.write_store(exons.exon_counts(store(opt.counts), store(opt.bed)), opt.out)
     elif opt.stage == "matrix":

@@ -54,6 +54,35 @@ tb.sql_table(
 )
 
 
+# Placement of a pattern of 16 letters in a text as a fold over the text's letters: a column holds, for every pattern prefix, its edits
+# times 1000 plus the column where the first letter's alignment is left; behind them stands the best of the whole pattern so far.
+_PLACED = (
+    "list_reduce(list_prepend(list_append(list_transform(range(0, 17), lambda i: i * 1000), 16000), "
+    "list_transform(range(1, length({t}) + 1), lambda j: [j])), "
+    "lambda before, step: list_transform([list_reduce(list_prepend([0]::bigint[], list_transform(range(1, 17), lambda i: [i])), "
+    "lambda cur, pl: list_append(cur, "
+    "(CASE WHEN substr({p}, pl[1], 1) = substr({t}, step[1], 1) THEN before[pl[1]] // 1000 "
+    "ELSE least(cur[pl[1]], before[pl[1] + 1], before[pl[1]]) // 1000 + 1 END) * 1000 + "
+    "CASE WHEN pl[1] = 1 THEN step[1] "
+    "WHEN cur[pl[1]] // 1000 <= least(before[pl[1] + 1], before[pl[1]]) // 1000 THEN cur[pl[1]] % 1000 "
+    "WHEN before[pl[1]] // 1000 <= before[pl[1] + 1] // 1000 THEN before[pl[1]] % 1000 "
+    "ELSE before[pl[1] + 1] % 1000 END))], "
+    "lambda now: list_append(now, CASE WHEN now[17] // 1000 < before[18] // 1000 THEN now[17] ELSE before[18] END))[1])[18]"
+)
+tb.sql_table(
+    "placed",
+    "cos_top",
+    f"""SELECT read_name, seq, barcode, rank, v // 1000 AS edit, v % 1000 AS pos FROM cos_top JOIN (
+        SELECT seq, barcode, {_PLACED.format(t='seq', p='barcode')} AS v FROM (SELECT DISTINCT seq, barcode FROM cos_top)) USING (seq, barcode)""",
+)
+tb.sql_table(
+    "best_match",
+    "placed",
+    """SELECT read_name, barcode, round(0.4003602 + pos, 4) AS start, edit::int AS edit FROM (SELECT *, row_number() OVER (
+        PARTITION BY read_name, seq ORDER BY edit, abs(pos - 20.0), rank, barcode) AS nth FROM placed WHERE edit <= 6) WHERE nth = 1""",
+)
+
+
 @query("bm_kmer_dict", "kmer_dict", "SELECT * FROM kmer_dict")
 def bm_kmer_dict(spark, sf):
     return bc.kmer_dictionary(tb.whitelist(spark, sf), CFG.k)
@@ -113,21 +142,27 @@ def bm_semiglobal(spark, sf):
     return hit.select("read_name", "barcode", F.col("h.edit").alias("edit")).where("edit <= 6")
 
 
-@query("bm_traceback")
+@query(
+    "bm_traceback",
+    "reads",
+    f""", pairs AS (SELECT clip, cell, {_PLACED.format(t='clip', p='cell')} AS v FROM (SELECT DISTINCT clip, cell FROM reads))
+    SELECT read_name, (v // 1000)::int AS edit, (v % 1000)::int AS pos FROM reads JOIN pairs USING (clip, cell)""",
+)
 def bm_traceback(spark, sf):
     r = tb.reads(spark, sf).select("read_name", "cell", F.col("clip").alias("seq"))
     return r.select("read_name", infix_align("seq", "cell").alias("h")).select("read_name", "h.edit", "h.pos")
 
 
-@query("bm_best", "infix", "SELECT read_name, cast(min(edit) AS int) AS edit FROM infix WHERE edit <= 6 GROUP BY read_name, seq")
+@query("bm_best", "best_match", "SELECT read_name, barcode, start, edit FROM best_match")
 def bm_best(spark, sf):
     best = bc.best_match(_softclips(spark, sf), tb.whitelist(spark, sf), CFG.mu, CFG.sigma, CFG)
-    return best.select("read_name", "edit")
+    return best.select("read_name", "barcode", F.round("start", 4).alias("start"), "edit")
 
 
-@query("bm_match")
+@query("bm_match", "best_match", "SELECT read_name, barcode, start, edit FROM best_match")
 def bm_match(spark, sf):
-    return bc.best_match(_softclips(spark, sf), tb.whitelist(spark, sf), CFG.mu, CFG.sigma, CFG)
+    best = bc.best_match(_softclips(spark, sf), tb.whitelist(spark, sf), CFG.mu, CFG.sigma, CFG)
+    return best.withColumn("start", F.round("start", 4))
 
 
 @query("bm_adaptive")
@@ -305,11 +340,18 @@ tb.sql_table("gene_weights", "reads", "SELECT gene, count(*) AS weight FROM read
 tb.sql_table(
     "gene_bins",
     "gene_weights",
-    """SELECT gene, weight, CASE WHEN weight > cap THEN concat('alone-', gene)
-        WHEN floor((total - weight) / cap) = floor((total - 1) / cap)
-        THEN concat('bin-', cast(floor((total - 1) / cap) AS bigint)) ELSE concat('alone-', gene) END AS bin
-       FROM (SELECT *, sum(CASE WHEN weight <= cap THEN weight ELSE 0 END) OVER (ORDER BY weight DESC, gene) AS total
-             FROM gene_weights, (SELECT ceil(sum(weight) / 4.0) AS cap FROM gene_weights))""",
+    """WITH RECURSIVE capped AS (SELECT *, (SELECT ceil(sum(weight) / 4.0)::bigint FROM gene_weights) AS cap FROM gene_weights),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY weight DESC, gene) AS rn FROM capped WHERE weight <= cap),
+    fits AS (
+        SELECT 0::bigint AS rn, ''::varchar AS gene, 0::bigint AS weight, []::bigint[] AS room, 0::bigint AS place
+        UNION ALL
+        SELECT rn, gene, weight, CASE WHEN place > len(room) THEN list_append(room, cap - weight)
+            ELSE list_transform(room, lambda x, i: CASE WHEN i = place THEN x - weight ELSE x END) END, place
+        FROM (SELECT r.rn, r.gene, r.weight, r.cap, f.room, coalesce(
+                nullif(list_position(list_transform(f.room, lambda x: x >= r.weight), true), 0), len(f.room) + 1)::bigint AS place
+              FROM fits f JOIN ranked r ON r.rn = f.rn + 1))
+    SELECT gene, weight, concat('bin-', place - 1) AS bin FROM fits WHERE rn > 0
+    UNION ALL SELECT gene, weight, concat('alone-', gene) FROM capped WHERE weight > cap""",
 )
 
 

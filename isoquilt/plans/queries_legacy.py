@@ -1,17 +1,20 @@
 """Older de-duplication variants, helper analytics, evaluation."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from isoquilt.config import UmiConfig
 from isoquilt.functions import intervals, seq, stats
-from isoquilt.operators import helpers, legacy, sizes, umi
+from isoquilt.operators import helpers, legacy, sizes, umi, umi_evaluation
+from isoquilt.plans import longread
 from isoquilt.plans import testbed as tb
 from isoquilt.plans.queries_barcode import _matches, _softclips
 from isoquilt.plans.queries_splice import _sized
 from isoquilt.plans.queries_umi import _named, _nodes
 from isoquilt.plans.registry import query
-from isoquilt.session import cut, stored
-from isoquilt.sources import writers
+from isoquilt.session import checkpoint_dir, cut, stored
+from isoquilt.sources import bam, writers
 
 CFG = UmiConfig()
 
@@ -355,7 +358,12 @@ def snk_fastq(spark, sf):
 def snk_bam_subset(spark, sf):
     a = tb.alignments(spark, sf)
     names = a.where("mapq >= 34").select("read_name").distinct()
-    return writers.alignment_subset(a, names, "chr1", 120000, 180000).select("read_name", "rname", "pos")
+    some = writers.alignment_subset(a, names, "chr1", 120000, 180000)
+    # written as indexed files, and read back by region
+    columns = [c.split()[0] for c in bam.SCHEMA.split(", ")]
+    path = f"{checkpoint_dir(spark)}/isoquilt-{spark.sparkContext.applicationId}/subset-{uuid.uuid4().hex}"
+    bam.write_bam(some.select(*columns).sortWithinPartitions("pos"), path, [("chr1", 1 << 29)], index=True)
+    return bam.read_bam(spark, path).where("rname = 'chr1' AND pos BETWEEN 120000 AND 180000").select("read_name", "rname", "pos")
 
 
 # ------------------------------------------------------------- evaluation
@@ -401,24 +409,21 @@ def ev_intersect(spark, sf):
     return helpers.agreeing(one, two)
 
 
+def _truth(spark, sf):
+    """Cell-exon reads with their true molecule and a setting, the read's flag."""
+    known = tb.reads(spark, sf).select("read_name", F.col("rf").alias("setting"), F.concat_ws("/", "gene", "molecule").alias("molecule"))
+    return tb.cell_exon(spark, sf).join(known, "read_name")
+
+
 @query("ev_dedup")
 def ev_dedup(spark, sf):
-    r = tb.reads(spark, sf)
-    truth = r.groupBy("cell").agg(F.count_distinct("gene", "molecule").alias("exprs"), F.count("*").alias("pcr"))
-    found = umi.exact_counts(tb.cell_exon(spark, sf)).groupBy("cell").agg(F.sum("cluster").alias("es_cluster"))
-    found = found.withColumn("es_exprs", F.col("es_cluster") * 0.5)
-    return helpers.dedup_errors(truth, found)
+    reads = cut(umi.busy_genes(_truth(spark, sf).withColumn("gene", F.concat_ws("/", "setting", "gene"))))
+    counts = longread.count_molecules(reads).withColumn("setting", F.split_part("gene", F.lit("/"), F.lit(1)))
+    truth = reads.select("setting", F.col("barcode").alias("cell"), "isoform", "molecule")
+    blocks = lambda isoform: F.size(F.split(isoform, r"\|"))
+    return helpers.dedup_evaluation(truth, counts, ["setting"], lambda i: blocks(i) > 2, lambda i: blocks(i) > 1)
 
 
 @query("ev_cluster")
 def ev_cluster(spark, sf):
-    sized = cut(_sized(spark, sf))
-    keys = ["gene", "cell"]
-    raw = sized.groupBy(*keys).agg(F.sum("size").alias("raw"), F.count("*").alias("dedup"))
-    pcr = sizes.count_by_pcr(sized, keys).withColumnRenamed("molecules", "filter_pcr")
-    err = sizes.count_by_error(sized, keys, 0.1).withColumnRenamed("molecules", "filter_error")
-    votes = sizes.noise_votes(sized, keys, 0.1, CFG.size_alpha)
-    noise = sized.join(votes, [*keys, "size"]).groupBy(*keys).agg(F.sum("vote").alias("noise"))
-    return raw.join(pcr, keys).join(err, keys).join(noise, keys).withColumn("filter_total", F.col("dedup") - F.col("noise")).drop("noise")
-
-
+    return umi_evaluation.cluster_evaluation(_truth(spark, sf), ["setting", "gene"])

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from isoquilt.__main__ import parser
 from isoquilt.operators import exons
 from isoquilt.sources import bam, readers, writers
-from isoquilt.streaming import adaptive
 
 
 def _bgzf(data: bytes, size: int) -> bytes:
@@ -84,21 +83,6 @@ def test_sinks(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "beds")).first()["value"] == "chr1 1 5 5 +"
 
 
-def test_stream_learns_the_position(spark, tmp_path):
-    bars = ["ACGTTGCAACGTAGCT", "TTGACCATGGCATCGA", "GGATCCTTAACGCGTA"]
-    src = tmp_path / "in"
-    for part in range(2):
-        rows = [(f"r{part}-{i}", "CTTCCGATCTACGCTA" + bars[i % 3] + "ACGTACGTACTTTCTTATATGG") for i in range(30)]
-        spark.createDataFrame(rows, "read_name string, seq string").coalesce(1).write.mode("append").parquet(str(src))
-    stream = spark.readStream.schema("read_name string, seq string").option("maxFilesPerTrigger", 1).parquet(str(src))
-    wl = spark.createDataFrame([(b,) for b in bars], "barcode string")
-    query = adaptive.match_stream(stream, wl, str(tmp_path / "out"), str(tmp_path / "ck"))
-    query.awaitTermination(120)
-    found = spark.read.parquet(str(tmp_path / "out/matches"))
-    assert found.count() == 60 and found.where("edit = 0").count() == 60
-    assert spark.read.parquet(str(tmp_path / "out/state")).agg(F.sum("n")).first()[0] == 60
-
-
 def test_command_line():
     opt = parser().parse_args(["count", "--cells", "x", "-o", "y", "--ulen", "12"])
     assert (opt.stage, opt.ulen, opt.blen) == ("count", 12, 16)
