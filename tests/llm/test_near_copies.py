@@ -67,3 +67,54 @@ def test_candidates_hold_similar_pairs():
             total, met = total + 1, met + bool((near_copies.band_keys(a) == near_copies.band_keys(b)).any())
     assert total > 200 and met >= 0.99 * total, (met, total)
     print(met, total)
+
+
+def test_bits_never_rule_out_similar_sets(spark):
+    """What the bits rule out is below the similarity."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(200):
+        base = words(3000 + k % 20, 60 + 10 * (k % 7))
+        a, b = (near_copies.shingle_set(t) for t in (base, _changed(rng, base, rng.randint(0, 9))))
+        alike = len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+        sides = [(len(x), near_copies.parity_bits(x).tolist()) for x in (a, b)]
+        rows.append((*sides, alike))
+    side = "struct<n: int, bits: array<long>>"
+    df = spark.createDataFrame(rows, f"a {side}, b {side}, alike boolean")
+    told = df.select(near_copies._may_be_alike("a", "b", 0.8).alias("may"), "alike").collect()
+    assert all(r.may for r in told if r.alike) and sum(not r.may for r in told) > 20
+
+
+def test_bucket_of_thousands_of_sets(spark):
+    """One large group of short near copies, many of them below the similarity: all links, few rows."""
+    rng = random.Random(31)
+    base = words(77, 40)
+    rows = [(k, _changed(rng, base, rng.choice([1, 1, 1, 2, 3])), "en", "s") for k in range(5000)]
+    got = near_copies.groups(spark.createDataFrame([(d, t) for d, t, _, _ in rows], "doc_id long, text string"))
+    named = {r.doc_id: r.component for r in got.collect()}
+    sets = [_set(r[1]) for r in rows]
+    # brute force over pairs that share half of their shingles or more, by an inverted index
+    group = list(range(len(rows)))
+
+    def find(x):
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    numbers = {}
+    coded = [np.array(sorted(numbers.setdefault(x, len(numbers)) for x in s)) for s in sets]
+    wide = np.zeros((len(rows), 36), dtype=bool)
+    shared = {numbers[x]: k for k, x in enumerate(_set(base)) if x in numbers}
+    for i, s in enumerate(coded):
+        wide[i, [shared[x] for x in s.tolist() if x in shared]] = True
+    sizes = np.array([len(s) for s in coded])
+    counts = wide.astype(np.int16) @ wide.T.astype(np.int16)
+    for i in range(len(rows)):
+        for j in np.flatnonzero(counts[i, :i] >= 0.8 * (sizes[i] + sizes[:i] - counts[i, :i])).tolist():
+            group[find(i)] = find(j)
+    of = {}
+    for d in range(len(rows)):
+        of.setdefault(find(d), set()).add(named[d])
+    # a pair at the similarity is a candidate with probability 0.9999; here every component is found
+    assert len(of) == len(set(named.values())) and all(len(x) == 1 for x in of.values())
