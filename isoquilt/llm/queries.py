@@ -48,16 +48,17 @@ FROM hashed JOIN firsts USING (hex)
 """
 
 _TOP_SQL = """
-WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
-  FROM embeddings
+WITH rows AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+whole AS (SELECT vec_id, e, list_transform(e, lambda x: floor(1024 * x)) AS v FROM rows),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+  SELECT q.vec_id AS query_id, q.e AS query, c.vec_id,
+    CAST(CASE WHEN len(q.v) = 0 THEN 0 ELSE list_inner_product(q.v, c.v) END AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND len(q.v) = len(c.v) AND (c.vec_id <> q.vec_id OR c.e <> q.e)),
 ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
     vec_id, score
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10

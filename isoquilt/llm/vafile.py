@@ -7,16 +7,17 @@ have.  Exact vectors are read in the order of these bounds, and reading stops wh
 score found is above the next bound: no vector that was not read can be among the k best.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor
-do rows without an id; equal scores go to the smaller id; of rows that repeat an id the smallest
-vector counts; vectors of different length do not meet; an empty table gives an empty result; only vec_id
-and embedding are read, so other columns cannot clash.
+do rows without an id; equal scores go to the smaller id; rows equal in id and vector are one, rows that share
+only the id are all candidates and, where the id asks, all queries; vectors of different length do not meet; a vector
+without components meets others like it, at score 0; an empty table gives an empty result; only vec_id and embedding are
+read, so other columns cannot clash.
 """
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoquilt.llm.vectors import QUERY_ROWS, SHARD_ROWS, first_of_equal, search
+from isoquilt.llm.vectors import QUERY_ROWS, first_of_equal, search
 
 K = 10
 SCALE = 1024.0
@@ -41,18 +42,20 @@ class Approximation:
         floor = self.low + self.code * self.width
         ceiling = floor + self.width - 1
         bound = np.maximum(queries, 0) @ ceiling.T + np.minimum(queries, 0) @ floor.T
-        # sums of doubles may be off in the last digits for very large values
-        return bound + np.abs(bound) * 1e-9
+        # a sum of doubles may be off by a few last digits of the terms' magnitudes for each of its terms
+        terms = np.abs(queries) @ np.maximum(np.abs(ceiling), np.abs(floor)).T
+        return bound + terms * (queries.shape[1] + 4) * 2.0**-52
 
 
-def _best(values, ids, bound, query, own, k):
+def _best(values, ids, bound, query, mine, k):
+    """Best scores and ids; ``mine`` marks the query's own row."""
     order = np.argsort(-bound, kind="stable")
     scores, found = np.empty(0, dtype=values.dtype), np.empty(0, dtype=np.int64)
     for at in range(0, len(order), READ):
         if len(scores) == k and scores[-1] > bound[order[at]]:
             break
         rows = order[at : at + READ]
-        rows = rows[ids[rows] != own]
+        rows = rows[~mine[rows]]
         scores = np.concatenate([scores, (values[rows] * query).sum(axis=1)])
         found = np.concatenate([found, ids[rows]])
         keep = sorted(range(len(found)), key=lambda i: (-scores[i], found[i]))[:k]
@@ -65,25 +68,34 @@ def best(
     every: int = 100,
     k: int = K,
     cells: int = CELLS,
-    shard_rows: int = SHARD_ROWS,
+    shard_rows: int | None = None,
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): queries are the rows whose id is divisible by ``every``."""
 
-    def in_shard(points, ids, queries, own):
-        points, ids = first_of_equal(np.floor(SCALE * points), ids, k + 1)
-        asked = np.floor(SCALE * queries)
-        bounds = Approximation(points, cells).bounds(asked)
-        large = max(np.abs(points).max(initial=0), np.abs(asked).max(initial=0)) >= SAFE
-        exact = (lambda x: np.vectorize(int, otypes=[object])(x)) if large else (lambda x: x.astype(np.int64))
-        values, asked = exact(points), exact(asked)
-        query, found, score = [], [], []
-        for i in range(len(asked)):
-            scores, names = _best(values, ids, bounds[i], asked[i], own[i], k)
-            query += [own[i]] * len(names)
-            found += names.tolist()
-            score += scores.tolist()
-        return query, found, score
+    def index(points, ids, names):
+        points = np.floor(SCALE * points)
+        kept = first_of_equal(points, ids, k + 1)
+        points, ids, names = points[kept], ids[kept], names[kept]
+        cells_of = Approximation(points, cells) if points.shape[1] else None
+        most = np.abs(points).max(initial=0)
+
+        def find(queries, own, own_names):
+            asked = np.floor(SCALE * queries)
+            bounds = cells_of.bounds(asked) if cells_of else np.zeros((len(asked), len(ids)))
+            large = max(most, np.abs(asked).max(initial=0)) >= SAFE
+            exact = (lambda x: np.vectorize(int, otypes=[object])(x)) if large else (lambda x: x.astype(np.int64))
+            values, asked = exact(points), exact(asked)
+            query, found, score = [], [], []
+            for i in range(len(asked)):
+                mine = (ids == own[i]) & (names == own_names[i])
+                scores, near = _best(values, ids, bounds[i], asked[i], mine, k)
+                query += [i] * len(near)
+                found += near.tolist()
+                score += scores.tolist()
+            return query, found, score
+
+        return find
 
     asked = F.col("vec_id") % every == 0
-    return search(vectors, asked, k, "long", F.col("score").desc(), in_shard, True, shard_rows, query_rows)
+    return search(vectors, asked, k, "long", F.col("score").desc(), index, True, shard_rows, query_rows)

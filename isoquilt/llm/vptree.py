@@ -8,16 +8,17 @@ one is exact, a larger one leaves out more.  Queries walk a tree together, each
 its nearer side first.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no
-part; nor do rows without an id; equal distances go to the smaller id; of rows that repeat an id the
-smallest vector counts; vectors of different length do not meet; an empty table
-gives an empty result; only vec_id and embedding are read, so other columns cannot clash.
+part; nor do rows without an id, nor vectors without components, which count as zero; equal distances go to the smaller
+id; rows equal in id and vector are one, rows that share only the id are all candidates and, where the id asks, all
+queries; vectors of different length do not meet; an empty table gives an empty result; only vec_id
+and embedding are read, so other columns cannot clash.
 """
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoquilt.llm.vectors import QUERY_ROWS, SHARD_ROWS, first_of_equal, search
+from isoquilt.llm.vectors import QUERY_ROWS, first_of_equal, search
 
 K = 10
 LEAF = 64
@@ -34,8 +35,8 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
-        self.points, self.ids, self.leaf = points, ids, leaf
+    def __init__(self, points: np.ndarray, ids: np.ndarray, names: np.ndarray, leaf: int = LEAF):
+        self.points, self.ids, self.names, self.leaf = points, ids, names, leaf
         self.root = self._node(np.arange(len(points)))
 
     def _node(self, rows: np.ndarray):
@@ -52,19 +53,21 @@ class Tree:
             sides.append((far[part[0]], far[part[-1]], self._node(rows[part])))
         return vantage, sides
 
-    def nearest(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(
+        self, queries: np.ndarray, own: np.ndarray, own_names: np.ndarray, k: int, factor: float
+    ) -> tuple[np.ndarray, np.ndarray]:
         """(distances, ids) of the k nearest found of each query; a missing one is at infinity."""
         self.best = np.full((len(queries), k), np.inf)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
-        self.factor = factor
-        self._visit(self.root, queries, own, np.arange(len(queries)))
+        self.factor, self.own, self.own_names = factor, own, own_names
+        self._visit(self.root, queries, np.arange(len(queries)))
         return self.best, self.found
 
-    def _visit(self, node, queries: np.ndarray, own: np.ndarray, who: np.ndarray) -> None:
+    def _visit(self, node, queries: np.ndarray, who: np.ndarray) -> None:
         if not len(who):
             return
         if not isinstance(node, tuple):
-            self._look(node, queries, own, who)
+            self._look(node, queries, who)
             return
         vantage, sides = node
         far = _distances(queries[who], vantage[None])[:, 0]
@@ -74,11 +77,12 @@ class Tree:
             for side in (0, 1):
                 mine = inner_first == (side == 0) if turn else inner_first == (side == 1)
                 mine &= self.factor * least[side] <= self.best[who, -1]
-                self._visit(sides[side][2], queries, own, who[mine])
+                self._visit(sides[side][2], queries, who[mine])
 
-    def _look(self, rows: np.ndarray, queries: np.ndarray, own: np.ndarray, who: np.ndarray) -> None:
+    def _look(self, rows: np.ndarray, queries: np.ndarray, who: np.ndarray) -> None:
         far = _distances(queries[who], self.points[rows])
-        far[own[who][:, None] == self.ids[rows][None, :]] = np.inf
+        mine = self.own[who][:, None] == self.ids[rows][None, :]
+        far[mine & (self.own_names[who][:, None] == self.names[rows][None, :])] = np.inf
         better = (far <= self.best[who, -1:]).any(axis=1)
         who, far = who[better], far[better]
         far = np.hstack([self.best[who], far])
@@ -95,16 +99,21 @@ def nearest(
     k: int = K,
     factor: float = FACTOR,
     leaf: int = LEAF,
-    shard_rows: int = SHARD_ROWS,
+    shard_rows: int | None = None,
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): queries are the rows whose id is divisible by ``every``."""
 
-    def in_shard(points, ids, queries, own):
-        points, ids = first_of_equal(points, ids, k + 1)
-        far, found = Tree(points, ids, leaf).nearest(queries, own, k, factor)
-        real = ~np.isinf(far)
-        return np.repeat(own, k).reshape(-1, k)[real], found[real], far[real]
+    def index(points, ids, names):
+        kept = first_of_equal(points, ids, k + 1)
+        tree = Tree(points[kept], ids[kept], names[kept], leaf)
+
+        def find(queries, own, own_names):
+            far, found = tree.nearest(queries, own, own_names, k, factor)
+            real = ~np.isinf(far)
+            return np.nonzero(real)[0], found[real], far[real]
+
+        return find
 
     asked = F.col("vec_id") % every == 0
-    return search(vectors, asked, k, "double", F.col("score").asc(), in_shard, False, shard_rows, query_rows)
+    return search(vectors, asked, k, "double", F.col("score").asc(), index, False, shard_rows, query_rows)
