@@ -31,6 +31,8 @@ TOP = 2000
 SCALE = 1_000_000
 #: Extensions counted in one round, of all languages together.
 FRONTIER = 100_000
+#: Parts of a language's waiting extensions that are put in order side by side.
+HANDS = 64
 #: Bytes of text that are counted at once.
 SLICE = 2 << 20
 
@@ -239,8 +241,10 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, frontier:
         gone = around.join(pairs, ["lang", "phrase"]).where("100 * longer >= 50 * a").select("lang", "phrase", F.lit("left").alias("side"))
         open_ = open_.join(gone, ["lang", "phrase", "side"], "left_anti")
         open_ = open_.where("line_s IS NULL OR s > line_s OR (s = line_s AND a >= line_a)")
-        order = W.partitionBy("lang").orderBy(F.col("s").desc(), F.col("a").desc(), "phrase", "side")
-        turn = open_.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= frontier)
+        # each language's best in several hands, so that a large one is not sorted by a single task
+        hand = F.pmod(F.xxhash64("phrase"), F.lit(HANDS))
+        order = W.partitionBy("lang", "hand").orderBy(F.col("s").desc(), F.col("a").desc(), "phrase", "side")
+        turn = open_.withColumn("hand", hand).withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= frontier)
         asked = turn.orderBy("turn", "lang").limit(frontier).select("lang", "phrase", "side").collect()
         if not asked:
             break
