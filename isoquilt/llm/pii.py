@@ -3,18 +3,22 @@
 Generators propose spans of four kinds.  The base patterns, checked by their own rules (parts of an
 address, check digits, number of digits), give spans that always stay.  Looser
 patterns propose more: written-out addresses, numbers without a plus, numbers that fail a check.
-A candidate's features are coarse: its kind, how many digits and characters it has, the
-characters beside it, its separators, a word before it that announces it.  They never hold the outcome of a
-check.  All candidates of the table are counted by their features; those that
-meet a base span are the positives.  Boosted trees are fitted to the counts of four fifths of the rows,
-and for each kind the lowest score at which the other fifth is right ``PRECISION`` of the time is the threshold.
-A candidate that meets no base span and reaches its threshold is added, of those
-that overlap the one with the highest score.
-
-There are at most 92,160 combinations of features, whatever the data: that bounds what the driver sees.
+A candidate's features are coarse: its kind and generator, how many digits and characters it has, the
+characters beside it, its separators.  They never hold the outcome of a check.
+
+What is learnt does not come from the base patterns: a candidate is labelled by a word before it that announces its kind.  Not every
+personal span is announced; the share that is, is measured at the base spans of the kind, and divides the share of announced ones
+among candidates of a format, which gives the probability that such a candidate is personal data (learning from positive and
+unlabelled examples).  All candidates of the table are counted by their features.  Boosted trees are fitted to the counts of
+four fifths of the rows, and for each kind the lowest score at which that probability is ``PRECISION`` or more in the other fifth is
+the threshold; ``DOUBT`` unannounced candidates are added to the count, so few candidates give no certainty, at any size
+of the table.  A candidate that meets no base span and reaches its threshold is added; of added spans that overlap
+in a row the one with the highest score stays.
+
+There are at most 40,960 combinations of features, whatever the data: that bounds what the driver sees.
 Everything else is in the rows: no Python runs on the executors and nothing is shuffled but the counts.
-The patterns start only where a run of their characters starts and never give characters back, so
-their time is linear in the text.
+The patterns start only where a run of their characters starts and never give characters back, and what is known of a
+candidate's surroundings is cut from the text between two matches, so the time is linear in the text; spans are compared in sorted order.
 
 Defined results: null is the empty text and has no spans; equal scores go to the earlier, then longer
 span; repeated rows are each searched; an empty table gives an empty result; only doc_id and
@@ -32,8 +36,10 @@ ROUNDS = 20
 DEPTH = 2
 RATE = 0.3
 PRECISION = 0.9
-#: Candidates of a kind in the calibration fold below which nothing of that kind is added.
-LEAST_SEEN = 20
+#: Unannounced candidates that are added to those of the calibration fold.
+DOUBT = 2
+#: The share of announced spans of a kind counts as this at least, as a smaller one says little.
+LEAST_SHARE = 0.5
 CUE_CHARS = 24
 
 _LOCAL = "A-Za-z0-9._%+-"
@@ -60,23 +66,49 @@ GATE = {
     "card": r"[0-9][\x20-]?[0-9]",
     "phone": r"\+[0-9]|[0-9]{3}",
 }
-CUES = r"(?i)(?:mail|tel|phone|call|fax|card|visa|account|server|host|addr|contact|kontakt|llam|appel)"
-_SPAN = "array<struct<kind:int,start:int,stop:int,found:string>>"
+# Words that announce each kind.
+CUES = {
+    "email": r"(?i)(?:mail|write|contact|kontakt|addr|correo|courriel|schreib|escrib)",
+    "ip": r"(?i)(?:\bip\b|server|host|addr|address|login|dirección|adresse)",
+    "card": r"(?i)(?:card|visa|account|pay|karte|tarjeta|carte|konto|cuenta)",
+    "phone": r"(?i)(?:tel|phone|call|fax|mobil|llam|appel|ruf|handy)",
+}
+_SPAN = "array<struct<kind:int,loose:int,start:int,stop:int,found:string,cue:int,left:int,right:int>>"
+
+
+def _class(char: Column) -> Column:
+    """Class of a character: nothing or space, letter, digit, other."""
+    return F.when(char.rlike(r"^\s?$"), 0).when(char.rlike(r"\p{L}"), 1).when(char.rlike("[0-9]"), 2).otherwise(3)
 
 
-def _matches(text: Column, kind: str, pattern: str) -> Column:
-    """Leftmost non-overlapping matches of a pattern with their places in code points."""
+def _matches(text: Column, kind: str, pattern: str, loose: int) -> Column:
+    """Leftmost non-overlapping matches of a pattern with their places in code points and what stands around them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    pieces = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(m.alias("m"), F.length(b).alias("gap")))
+    both = F.struct(found.alias("m"), F.split(text, pattern, -1).alias("gaps"))
+
+    def around(v: Column) -> Column:
+        def piece(m: Column, i: Column) -> Column:
+            before = F.concat(F.when(i > 0, F.get(v["m"], i - 1)).otherwise(F.lit("")), F.get(v["gaps"], i))
+            after = F.concat(F.get(v["gaps"], i + 1), F.coalesce(F.get(v["m"], i + 1), F.lit("")))
+            return F.struct(
+                m.alias("m"), F.length(F.get(v["gaps"], i)).alias("gap"), F.right(before, F.lit(CUE_CHARS)).rlike(CUES[kind]).cast("int").alias("cue"),
+                _class(F.right(before, F.lit(1))).alias("left"), _class(F.left(after, F.lit(1))).alias("right"),
+            )
+
+        return F.transform(v["m"], piece)
+
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
 
     def step(state: Column, piece: Column) -> Column:
         start = state["at"] + piece["gap"]
         stop = start + F.length(piece["m"])
-        span = F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), stop.alias("stop"), piece["m"].alias("found"))
-        return F.struct(stop.alias("at"), F.array_append(state["spans"], span).cast(_SPAN).alias("spans"))
+        span = F.struct(
+            F.lit(KINDS.index(kind)).alias("kind"), F.lit(loose).alias("loose"), start.alias("start"), stop.alias("stop"), piece["m"].alias("found"),
+            piece["cue"].alias("cue"), piece["left"].alias("left"), piece["right"].alias("right"),
+        )
+        return F.struct(stop.alias("at"), F.array_append(state["spans"], span).alias("spans"))
 
+    pieces = F.flatten(F.transform(F.array(both), around))
     located = F.aggregate(pieces, begin, step, lambda state: state["spans"])
     return F.when(F.size(found) > 0, located).otherwise(F.array().cast(_SPAN))
 
@@ -108,17 +140,13 @@ def _valid(span: Column) -> Column:
     )
 
 
-def _meets(a: Column, b: Column) -> Column:
-    return (a["start"] < b["stop"]) & (b["start"] < a["stop"])
-
-
 def with_candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, text, base, candidates): base spans, and every proposed span by kind."""
     none = F.array().cast(_SPAN)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     gates = {k: F.col("text").rlike(GATE[k]) for k in KINDS}
-    strict = {k: F.when(gates[k], _matches(F.col("text"), k, BASE[k])).otherwise(none) for k in KINDS}
-    loose = {k: F.when(gates[k], _matches(F.col("text"), k, LOOSE[k])).otherwise(none) for k in KINDS}
+    strict = {k: F.when(gates[k], _matches(F.col("text"), k, BASE[k], 0)).otherwise(none) for k in KINDS}
+    loose = {k: F.when(gates[k], _matches(F.col("text"), k, LOOSE[k], 1)).otherwise(none) for k in KINDS}
     rows = rows.select("*", F.concat(*strict.values()).alias("strict"), F.concat(*loose.values()).alias("loose"))
     return rows.select(
         "doc_id", "text", F.filter("strict", _valid).alias("base"), F.concat("strict", "loose").alias("candidates")
@@ -129,54 +157,54 @@ def _bin(value: Column, borders: tuple) -> Column:
     return sum(((value >= b).cast("int") for b in borders), F.lit(0))
 
 
-def _beside(text: Column, place: Column) -> Column:
-    """Class of the character at a 1-based place: nothing or space, letter, digit, other."""
-    char = F.when(place > 0, F.substring(text, place, F.lit(1))).otherwise(F.lit(""))
-    return F.when(char.rlike(r"^\s?$"), 0).when(char.rlike(r"\p{L}"), 1).when(char.rlike("[0-9]"), 2).otherwise(3)
-
-
 def _holds(text: Column, part: str) -> Column:
     return F.contains(text, F.lit(part)).cast("int")
 
 
-FEATURES: dict[str, Callable[[Column, Column], Column]] = {
-    "kind": lambda text, s: s["kind"],
-    "digits": lambda text, s: _bin(F.length(_digits(s["found"])), (1, 7, 10, 13, 17)),
-    "size": lambda text, s: _bin(s["stop"] - s["start"], (8, 12, 16, 20, 30)),
-    "left": lambda text, s: _beside(text, s["start"]),
-    "right": lambda text, s: _beside(text, s["stop"] + 1),
-    "separators": lambda text, s: sum((_holds(s["found"], c) for c in (" ", "-", ".", "(")), F.lit(0)),
-    "plus": lambda text, s: _holds(s["found"], "+"),
-    "at": lambda text, s: _holds(s["found"], "@"),
-    "letters": lambda text, s: s["found"].rlike("[A-Za-z]").cast("int"),
-    "cue": lambda text, s: F.substring(
-        text, F.greatest(F.lit(1), s["start"] + 1 - CUE_CHARS), F.least(s["start"], F.lit(CUE_CHARS))
-    ).rlike(CUES).cast("int"),
+FEATURES: dict[str, Callable[[Column], Column]] = {
+    "kind": lambda s: s["kind"],
+    "loose": lambda s: s["loose"],
+    "digits": lambda s: _bin(F.length(_digits(s["found"])), (1, 7, 10, 13, 17)),
+    "size": lambda s: _bin(s["stop"] - s["start"], (8, 16, 20, 30)),
+    "left": lambda s: s["left"],
+    "right": lambda s: s["right"],
+    "separators": lambda s: F.least(F.lit(3), sum((_holds(s["found"], c) for c in (" ", "-", ".", "(")), F.lit(0))),
+    "plus": lambda s: _holds(s["found"], "+"),
+    "at": lambda s: _holds(s["found"], "@"),
 }
 
 
-def _described(candidates: DataFrame) -> Column:
-    """Candidates with their features and whether they meet a base span of their kind."""
+def _described(spans: str) -> Column:
+    """Candidates with their features and whether a word announces them."""
 
     def describe(span: Column) -> Column:
-        known = F.exists("base", lambda b: (b["kind"] == span["kind"]) & _meets(b, span))
-        features = [make(F.col("text"), span).cast("int").alias(name) for name, make in FEATURES.items()]
-        return F.struct(span["start"].alias("start"), span["stop"].alias("stop"), known.alias("known"), *features)
+        features = [make(span).cast("int").alias(name) for name, make in FEATURES.items()]
+        return F.struct(span["start"].alias("start"), span["stop"].alias("stop"), span["cue"].alias("cue"), *features)
 
-    return F.transform("candidates", describe)
+    return F.transform(spans, describe)
 
 
-def feature_counts(found: DataFrame) -> list[dict]:
-    """Positives and candidates of every combination of features, in both folds; a bounded table."""
+def feature_counts(found: DataFrame) -> tuple[list[dict], list[float]]:
+    """Announced and all candidates of every combination of features, in both folds, a bounded table; and for each kind
+    the share of base spans that are announced."""
     fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0
-    each = found.where(F.size("candidates") > 0).select(fold.alias("fold"), F.inline(_described(found)))
-    counts = each.groupBy(*FEATURES).agg(
+    each = found.where(F.size("candidates") > 0).select(
+        fold.alias("fold"), F.inline(F.concat(*[F.transform(_described(c), lambda s, b=b: F.struct(F.lit(b).alias("base"), s.alias("s"))) for b, c in ((False, "candidates"), (True, "base"))]))
+    ).select("fold", "base", "s.*")
+    counts = each.groupBy("base", *FEATURES).agg(
         F.count_if(~F.col("fold")).alias("seen"),
-        F.count_if(~F.col("fold") & F.col("known")).alias("positive"),
+        F.count_if(~F.col("fold") & (F.col("cue") == 1)).alias("positive"),
         F.count_if("fold").alias("held"),
-        F.count_if(F.col("fold") & F.col("known")).alias("held_positive"),
+        F.count_if(F.col("fold") & (F.col("cue") == 1)).alias("held_positive"),
     )
-    return [r.asDict() for r in counts.orderBy(*FEATURES).collect()]
+    rows = [r.asDict() for r in counts.orderBy("base", *FEATURES).collect()]
+    shares = []
+    for kind in range(len(KINDS)):
+        base = [r for r in rows if r["base"] and r["kind"] == kind]
+        told, all_ = sum(r["positive"] + r["held_positive"] for r in base), sum(r["seen"] + r["held"] for r in base)
+        # one more of each, so that a kind without base spans has a share too
+        shares.append((told + 1) / (all_ + 2))
+    return [r for r in rows if not r["base"]], shares
 
 
 class Boosted:
@@ -238,8 +266,8 @@ class Boosted:
         return sum((expression(t) for t in self.trees), F.lit(0.0))
 
 
-def thresholds(model: Boosted, cells: list[dict], precision: float = PRECISION) -> list[float]:
-    """For each kind the lowest margin at which the held fold has the precision; infinite if none has."""
+def thresholds(model: Boosted, cells: list[dict], shares: list[float], precision: float = PRECISION) -> list[float]:
+    """For each kind the lowest margin at which the held fold's probability is the precision; infinite if none has."""
     out = []
     for kind in range(len(KINDS)):
         by_margin = {}
@@ -251,32 +279,62 @@ def thresholds(model: Boosted, cells: list[dict], precision: float = PRECISION)
         least, n, p = math.inf, 0, 0
         for margin in sorted(by_margin, reverse=True):
             n, p = n + by_margin[margin][0], p + by_margin[margin][1]
-            # a single combination must also be more likely right than wrong
-            if n >= LEAST_SEEN and p >= precision * n and margin >= 0:
+            if p >= precision * max(LEAST_SHARE, shares[kind]) * (n + DOUBT):
                 least = margin - 1e-6
         out.append(least)
     return out
 
 
+_MARK = "array<struct<start:int,stop:int,base:int,score:double,kind:int>>"
+
+
+def _swept(marks: Column, free: Callable, border: int, move: Callable) -> Column:
+    """Marks without the added ones that ``free`` says meet a base span seen before; one pass in the marks' order."""
+    begin = F.struct(F.lit(border).alias("border"), F.array().cast(_MARK).alias("out"))
+
+    def step(state: Column, m: Column) -> Column:
+        stays = (m["base"] == 1) | free(m, state["border"])
+        now = F.when(m["base"] == 1, move(m, state["border"])).otherwise(state["border"])
+        return F.struct(now.alias("border"), F.when(stays, F.array_append(state["out"], m)).otherwise(state["out"]).alias("out"))
+
+    return F.aggregate(marks, begin, step, lambda state: state["out"])
+
+
+def _best_of_overlapping(marks: Column) -> Column:
+    """Of sorted marks that overlap in a row the one with the highest score, then the first, then the longest."""
+    none = F.lit(None).cast("struct<start:int,stop:int,base:int,score:double,kind:int>")
+    begin = F.struct(F.lit(-1).alias("stop"), none.alias("best"), F.array().cast(_MARK).alias("out"))
+
+    def rank(m: Column) -> Column:
+        return F.struct((-m["score"]).alias("a"), m["start"].alias("b"), (-m["stop"]).alias("c"), m["kind"].alias("d"))
+
+    def step(state: Column, m: Column) -> Column:
+        apart = m["start"] >= state["stop"]
+        out = F.when(apart & state["best"].isNotNull(), F.array_append(state["out"], state["best"])).otherwise(state["out"])
+        best = F.when(apart | state["best"].isNull() | (rank(m) < rank(state["best"])), m).otherwise(state["best"])
+        return F.struct(F.greatest(state["stop"], m["stop"]).alias("stop"), best.alias("best"), out.alias("out"))
+
+    return F.aggregate(marks, begin, step, lambda s: F.when(s["best"].isNull(), s["out"]).otherwise(F.array_append(s["out"], s["best"])))
+
+
 def spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """(doc_id, text, base, added): base spans, and the spans that the method adds."""
     found = with_candidates(docs)
-    cells = feature_counts(found)
+    cells, shares = feature_counts(found)
     model = Boosted(cells)
-    least = F.array(*[F.lit(t) for t in thresholds(model, cells, precision)])
-    scored = F.transform(
-        _described(found),
-        lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop"), model.column(c).alias("score")),
-    )
-    base = F.col("base")
-    chosen = F.filter(scored, lambda c: (c["score"] >= least[c["kind"]]) & ~F.exists(base, lambda b: _meets(b, c)))
-    found = found.select("doc_id", "text", "base", F.array_distinct(chosen).alias("chosen"))
-
-    def rank(c: Column) -> Column:
-        return F.struct((-c["score"]).alias("a"), c["start"].alias("b"), (-c["stop"]).alias("c"), c["kind"].alias("d"))
-
-    best = F.filter("chosen", lambda c: ~F.exists("chosen", lambda o: _meets(o, c) & (rank(o) < rank(c))))
-    return found.select("doc_id", "text", "base", best.alias("added"))
+    least = F.array(*[F.lit(t) for t in thresholds(model, cells, shares, precision)])
+
+    def mark(base: int, score: Callable) -> Callable:
+        return lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop"), F.lit(base).alias("base"), score(c).alias("score"), c["kind"].alias("kind"))
+
+    chosen = F.filter(F.transform(_described("candidates"), mark(0, model.column)), lambda c: c["score"] >= least[c["kind"]])
+    found = found.select("doc_id", "text", "base", F.array_distinct(chosen).cast(_MARK).alias("chosen"))
+    marks = F.array_sort(F.concat(F.transform("base", mark(1, lambda c: F.lit(0.0))).cast(_MARK), "chosen"))
+    # base spans that start before, then those that start after
+    once = _swept(marks, lambda m, stop: m["start"] >= stop, -1, lambda m, stop: F.greatest(stop, m["stop"]))
+    twice = _swept(F.reverse(once), lambda m, start: m["stop"] <= start, 2**31 - 1, lambda m, start: F.least(start, m["start"]))
+    added = _best_of_overlapping(F.reverse(F.filter(twice, lambda m: m["base"] == 0)))
+    return found.select("doc_id", "text", "base", F.when(F.size("chosen") > 0, added).otherwise(F.array().cast(_MARK)).alias("added"))
 
 
 def _written(found: Column) -> Column:
