@@ -13,6 +13,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks, as Spark reads it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def small_side(small: DataFrame, rows: int) -> DataFrame:
     """``small`` marked for broadcast if its counted ``rows`` allow it."""
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small

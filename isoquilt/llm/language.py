@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from isoquilt.llm.common import quoted
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -196,7 +198,7 @@ def predict(network: Network | None, tables: list[np.ndarray], texts: list[str |
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """(row, lang_pred, score): each row of ``docs`` as one value, and its prediction."""
     shared = docs.sparkSession.sparkContext.broadcast((network, network.tables() if network else []))
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
+    packed = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.col("text").alias("text"))
 
     def run(batches):
         model, tables = shared.value
@@ -227,4 +229,4 @@ def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """Documents in a language that is recognised, with that language as their ``lang``."""
     found = identify(docs, trained(docs.select("doc_id", "text", "lang")))
     sure = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return sure.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    return sure.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from isoquilt.llm.common import small_side
+from isoquilt.llm.common import quoted, small_side
 from isoquilt.session import cut
 
 MAX_EDITS = 1
@@ -257,7 +257,7 @@ def _applied(docs: DataFrame) -> DataFrame:
     """(row, text, gone): each row of ``docs`` as one value, what is left of its text, how many lines went."""
     # what goes grows with the table, so texts and line numbers meet by a shuffle at every size
     gone = dropped_lines(docs)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _begin().alias("begin"), _text_hash().alias("doc"))
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), _begin().alias("begin"), _text_hash().alias("doc"))
     both = rows.join(gone, ["begin", "doc"], "left")
     lines = F.split("row.text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("lines"))
@@ -272,7 +272,7 @@ def _applied(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the texts that are left, and ``n_chars`` of them where there is such a column."""
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return _applied(docs).select(*[changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    return _applied(docs).select(*[changed.get(c, F.col(f"row.{quoted(c)}")).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:

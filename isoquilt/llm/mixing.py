@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from isoquilt.llm.common import WORD, small_side, word_count
+from isoquilt.llm.common import WORD, quoted, small_side, word_count
 from isoquilt.session import cut, ordinal, running_totals
 
 WEIGHTS = (5, 2, 1)
@@ -107,8 +107,9 @@ def mix(
 ) -> DataFrame:
     """Per row of ``docs`` what the mix takes of it.
 
-    ``docs`` has doc_id, source, size and any columns to be carried along; ``sizes`` may be
-    a cheaper table of the same (source, size).  Adds source_size, target, taken, and
+    ``docs`` has doc_id, source, size and any columns to be carried along; ``sizes`` may be a cheaper
+    table of the same.  With a column text_hash, a long that tells texts apart, shards are dealt by id
+    and text, so that rows without an id spread over them.  Adds source_size, target, taken, and
     ``parts``: an array of (from, to) word ranges of the document, one for each time it is used.
     """
     sources = (sizes if sizes is not None else docs).groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -119,12 +120,13 @@ def mix(
     aimed = aimed.withColumn("blocks", F.lit(blocks))
     quotas = cut(apportion(aimed, "all", "source_rank", "target", "blocks", "source_blocks").drop("all", "blocks"))
     n_sources = quotas.count()
-    shard = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("n_shards")).alias("shard")
+    named = ["doc_id", *(c for c in ("text_hash",) if c in docs.columns)]
+    shard = F.pmod(F.xxhash64(*named, F.lit(seed)), F.col("n_shards")).alias("shard")
 
     def placed(rows: DataFrame, *columns: str) -> DataFrame:
         known = small_side(quotas.withColumnRenamed("source", "_source"), n_sources)
         both = rows.join(known, F.col("source").eqNullSafe(F.col("_source")))
-        return both.select(*[both[c] for c in columns], "source_rank", "source_blocks", "source_size", "target", shard)
+        return both.select(*[both[quoted(c)] for c in columns], "source_rank", "source_blocks", "source_size", "target", shard)
 
     of_shards = placed(sizes if sizes is not None else docs, "size").groupBy("source_rank", "shard").agg(
         F.sum("size").cast("double").alias("shard_size"), F.first("source_blocks").alias("source_blocks")
@@ -133,8 +135,7 @@ def mix(
     shares = cut(shares.select("source_rank", "shard", F.col("shard_size").cast("long"), "quota"))
 
     rows = placed(docs, *docs.columns).join(small_side(shares, shares.count()), ["source_rank", "shard"])
-    order = [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"), F.col("size")]
-    order += [F.xxhash64("text")] if "text" in docs.columns else []
+    order = [F.xxhash64(*named, F.lit(seed)), *map(F.col, named), F.col("size")]
     before = F.sum("size").over(
         W.partitionBy("source_rank", "shard").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
@@ -157,12 +158,12 @@ def mix(
             parts.append(F.struct(begin.cast("long").alias("from"), end.cast("long").alias("to")))
     rows = rows.withColumn("parts", F.filter(F.array(*parts), lambda p: p["to"] > p["from"]))
     taken = F.aggregate("parts", F.lit(0).cast("long"), lambda s, p: s + p["to"] - p["from"])
-    return rows.select(*docs.columns, "source_size", "target", taken.alias("taken"), "parts")
+    return rows.select(*map(quoted, docs.columns), "source_size", "target", taken.alias("taken"), "parts")
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every document."""
-    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")))
     return mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -174,13 +175,15 @@ def mixed(docs: DataFrame) -> DataFrame:
     own = ["doc_id", "source", "text"]
     size = word_count(F.col("text")).alias("size")
     # sizes are worked out once; a text travels once, next to the row's other columns
-    sizes = cut(docs.select("doc_id", "source", size))
-    others = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c not in own]).alias("row")
-    used = mix(docs.select(*own, others, size), sizes=sizes).select(*own, "row", "size", F.explode("parts").alias("part"))
+    names = [F.xxhash64("text").alias("text_hash"), size]
+    sizes = cut(docs.select("doc_id", "source", *names))
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    others = F.struct(F.lit(0).alias("none"), *[F.col(quoted(c)).alias(place[c]) for c in docs.columns if c not in own]).alias("row")
+    used = mix(docs.select(*own, others, *names), sizes=sizes).select(*own, "row", "size", F.explode("parts").alias("part"))
     # word k with the white space that follows it
     words = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     first, count = F.col("part.from").cast("int"), (F.col("part.to") - F.col("part.from")).cast("int")
     whole = (first == 0) & (count == F.col("size"))
     used = used.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(F.slice(words, first + 1, count), "")))
     made = {c: F.col(c) for c in own} | {"n_chars": F.length("text").cast("long")}
-    return used.select(*[made.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    return used.select(*[made.get(c, F.col(f"row.{place[c]}")).alias(c) for c in docs.columns])

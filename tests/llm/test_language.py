@@ -65,3 +65,21 @@ def test_slopes():
         down = loss()
         value[at] = before
         assert slope[at] == pytest.approx((up - down) / 2e-5, rel=0.02, abs=1e-5)
+
+
+def test_folded_tables_are_the_convolution():
+    network = language.Network(["a", "b", "c"])
+    rng = np.random.default_rng(3)
+    network.bias[:] = rng.normal(0, 1, network.filters)
+    windows = np.concatenate([rng.integers(0, 256, (3, language.WINDOW)), language.windows_of("héllo").astype(int)])
+    want = []
+    for window in windows:
+        vectors = [network.embedding[b] for b in window]
+        best = []
+        for f in range(network.filters):
+            width = sorted(language.WIDTHS, reverse=True)[f // language.FILTERS]
+            places = range(language.WINDOW - max(language.WIDTHS) + 1)
+            best.append(max(sum(vectors[p + k] @ network.kernel[k][:, f] for k in range(width)) for p in places))
+        top = np.maximum(np.array(best) + network.bias, 0) @ network.out + network.out_bias
+        want.append(np.exp(top) / np.exp(top).sum())
+    assert np.allclose(network.probabilities(windows, network.tables()), want, atol=1e-5)

@@ -92,3 +92,16 @@ def test_empty_tables(spark):
     assert mixing.mix_report(empty).count() == 0 and mixing.mixed(empty).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", "b")], "doc_id long, text string, source string")
     assert [r["taken"] for r in mixing.mix_report(blank).collect()] == [0, 0]
+
+
+def test_rows_without_an_id_spread_over_shards(spark):
+    rows = [(None, words(i, 40), "en", "a") for i in range(300)]
+    made = mixing.mixed(documents(spark, rows)).collect()
+    texts = {t for _, t, _, _ in rows}
+    assert sum(len(r["text"].split()) for r in made) == pytest.approx(1.5 * 300 * 40, abs=mixing.BLOCK_WORDS)
+    assert all(any(t.find(r["text"]) >= 0 for t in texts) for r in made[:20])
+    sized = documents(spark, rows).select("doc_id", "source", F.lit(40).alias("size"), F.xxhash64("text").alias("text_hash"))
+    plans = mixing.mix(sized, shard_words=400).select("taken").collect()
+    # every shard's run cuts a text at both ends; a single shard would cut two
+    assert len(plans) == 300 and sum(r["taken"] % 40 > 0 for r in plans) > 10
+    assert sum(r["taken"] for r in plans) == pytest.approx(18000, abs=16 * 31)
