@@ -92,6 +92,22 @@ def test_ties_follow_sparks_hash(spark):
     assert all(communities.tie(r.v, r.c) == r.h for r in made)
 
 
+def test_a_long_whitelist_goes_in_parts_without_a_join(spark):
+    """No row is made for a posting: reads meet the parts of the list where they are."""
+    rng = random.Random(4)
+    bars = sorted({"".join(rng.choice("ACGT") for _ in range(16)) for _ in range(400)} | {"ACGTRCGTACGTACGT", "ACGT"})
+    reads = [(f"r{i}", "".join(rng.choice("ACGT") for _ in range(20)) + rng.choice(bars)) for i in range(200)]
+    wl = spark.createDataFrame([(b,) for b in bars], "barcode string")
+    texts = spark.createDataFrame(reads, "read_name string, seq string")
+    pairs = barcode.cosine_pairs(texts, wl, broadcast_limit=100)
+    assert "Join" not in pairs._jdf.queryExecution().executedPlan().toString()
+    got = {(r.read_name, r.barcode): r.cos for r in pairs.collect()}
+    whole = {(r.read_name, r.barcode): r.cos for r in barcode.cosine_pairs(texts, wl).collect()}
+    joined = {(r.read_name, r.barcode): r.cos for r in barcode._pairs_by_join(texts, wl, barcode.BarcodeConfig()).collect()}
+    assert got == whole and len(got) >= 200
+    assert got.keys() == joined.keys() and all(abs(got[k] - joined[k]) < 1e-9 for k in got)
+
+
 def test_barcode_join_matches_full_scan(spark):
     rng = random.Random(9)
     bars = ["".join(rng.choice("ACGT") for _ in range(16)) for _ in range(60)]
