@@ -52,3 +52,12 @@ def test_intermediates_need_a_shared_folder():
             checkpoint_dir(_cluster(master))
     assert checkpoint_dir(_cluster("yarn", "hdfs://shared/x")) == "hdfs://shared/x"
     assert checkpoint_dir(_cluster("local[2]"))
+
+
+def test_rows_of_one_split_are_dealt_to_tasks(spark, monkeypatch):
+    """A row group cannot be divided: one split of many may hold all the rows."""
+    monkeypatch.setattr(tb, "TASK_ROWS", 500)
+    empty = spark.range(0, 0, 1, 64)
+    df = spark.range(0, 20_000, 1, 1).union(empty).selectExpr("id AS a", "id % 7 AS b")
+    sizes = [r["n"] for r in tb.spread(df, ["a", "b"]).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 1000 and len(sizes) == 40
