@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isoquilt.config import BarcodeConfig
+from isoquilt.functions.align import global_score
 from isoquilt.operators import barcode, umi
 from isoquilt.plans import testbed as tb
 from isoquilt.session import checkpoint_dir
@@ -61,3 +62,14 @@ def test_rows_of_one_split_are_dealt_to_tasks(spark, monkeypatch):
     df = spark.range(0, 20_000, 1, 1).union(empty).selectExpr("id AS a", "id % 7 AS b")
     sizes = [r["n"] for r in tb.spread(df, ["a", "b"]).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 20_000 and max(sizes) < 1000 and len(sizes) == 40
+
+
+def test_pairs_are_measured_once_for_their_scores(spark):
+    """Scores stand beside the pairs; small and large groups are compared in one place each."""
+    rows = [("g", "c", f"{k},{k + 50}", "ACGTACGTACGT"[k % 3 :] + "ACG"[: k % 3], 1, k) for k in range(6)]
+    nodes = spark.createDataFrame(rows, "gene string, cell string, isoform string, umi string, n bigint, id bigint")
+    edges = umi.similar_edges(nodes)
+    assert edges._jdf.queryExecution().optimizedPlan().toString().count("levenshtein(") == 2
+    assert edges.where("a <> b").count() == 15
+    texts = spark.createDataFrame([("ACGT", "ACGA"), ("A", "ACGT"), ("ACGT", "ACGA"), ("ACGT", "A")] * 3, "a string, b string")
+    assert [r.s for r in texts.select(global_score("a", "b").alias("s")).collect()] == [2, -2, 2, -2] * 3
