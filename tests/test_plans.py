@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from isoquilt.config import BarcodeConfig
 from isoquilt.functions.align import global_score
 from isoquilt.operators import barcode, umi
+from isoquilt.plans import longread
 from isoquilt.plans import testbed as tb
 from isoquilt.session import checkpoint_dir
 
@@ -73,3 +74,9 @@ def test_pairs_are_measured_once_for_their_scores(spark):
     assert edges.where("a <> b").count() == 15
     texts = spark.createDataFrame([("ACGT", "ACGA"), ("A", "ACGT"), ("ACGT", "ACGA"), ("ACGT", "A")] * 3, "a string, b string")
     assert [r.s for r in texts.select(global_score("a", "b").alias("s")).collect()] == [2, -2, 2, -2] * 3
+
+
+def test_clustered_nodes_are_kept(spark):
+    """What reads them several times does not cluster again."""
+    clustered, _ = longread.cluster_reads(tb.cell_exon(spark, SF))
+    assert "MapInPandas" not in clustered._jdf.queryExecution().optimizedPlan().toString()
