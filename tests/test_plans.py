@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from isoquilt.config import BarcodeConfig
 from isoquilt.functions.align import global_score
-from isoquilt.operators import barcode, umi
-from isoquilt.plans import longread
+from isoquilt.operators import barcode, splice, umi
+from isoquilt.plans import longread, queries_splice
 from isoquilt.plans import testbed as tb
 from isoquilt.session import checkpoint_dir
 
@@ -80,3 +80,19 @@ def test_clustered_nodes_are_kept(spark):
     """What reads them several times does not cluster again."""
     clustered, _ = longread.cluster_reads(tb.cell_exon(spark, SF))
     assert "MapInPandas" not in clustered._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_voting_deals_reads_out_once(spark, monkeypatch):
+    """Reads dealt by molecule stay so; the sites of many genes are joined and give the same votes."""
+    nodes = queries_splice._voting(spark, SF)
+    modes = splice.pattern_modes(splice.voters(nodes))
+    assert modes._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(splice, "BROADCAST_SITES", 0)
+    joined = splice.pattern_modes(splice.voters(nodes))
+    assert modes.count() == joined.count() > 0 and modes.exceptAll(joined).isEmpty()
+
+
+def test_molecule_reads_are_the_reads(spark):
+    one, two = tb.reads(spark, SF), tb.molecule_reads(spark, SF)
+    assert one.count() == two.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert one.exceptAll(two).isEmpty()
