@@ -272,3 +272,32 @@ def test_pair_counts_do_not_depend_on_blocks(spark, monkeypatch):
         pairs = [(state[(f"p{p}", a)], state[(f"p{p}", b)]) for p in range(60)]
         assert differ == sum(x != y for x, y in pairs if x is not None and y is not None)
         assert seen == sum(x is not None for x, _ in pairs) and apart == sum((x is None) != (y is None) for x, y in pairs)
+
+
+def test_isoform_links_match_brute_force(spark):
+    """Every close pair once, whatever squares it lies in; isoforms alone in their group are not dealt out."""
+    rng = np.random.default_rng(3)
+    rows = {(f"g{k % 3}", "c", "m", f"{a},{a + 40}|{a + 100},{a + 100 + b}") for k, a, b in zip(range(90), rng.integers(1000, 1030, 90), rng.integers(30, 60, 90))}
+    rows |= {("g0", "c", "m", f"{a},{a + 3}") for a in (5, 900, 4000)} | {(f"h{k}", "c", "m", "5,80") for k in range(5)}
+    got = sizes.isoform_links(spark.createDataFrame(sorted(rows), "gene string, cell string, mid string, isoform string"), 10)
+    assert "Window" in got._jdf.queryExecution().optimizedPlan().toString()
+    names = {r.h: r.isoform for r in spark.createDataFrame([(r[3],) for r in rows], "isoform string").selectExpr("isoform", "xxhash64(isoform) AS h").collect()}
+    found = [(r.gene, frozenset((names[r.a], names[r.b])), r.dis) for r in got.collect()]
+
+    def bases(text):
+        return {p for b in text.split("|") for p in range(int(b.split(",")[0]), int(b.split(",")[1]) + 1)}
+
+    want = set()
+    for g, _, _, x in rows:
+        for h, _, _, y in rows:
+            if g == h and x < y and len(bases(x) ^ bases(y)) <= 10:
+                want.add((g, frozenset((x, y)), len(bases(x) ^ bases(y))))
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 50
+
+
+def test_replicates_are_not_shuffled(spark):
+    """The cells of an exon meet once, before they enter every replicate."""
+    values = spark.createDataFrame([("g", e, f"c{k}", (k % 5 + e) / 10) for e in (1, 2) for k in range(40)], "gene string, exon int, cell string, psi double")
+    out = psi.phi_interval(values, 20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and out.count() == 2
