@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isoquilt.config import BarcodeConfig
 from isoquilt.functions.align import global_score
-from isoquilt.operators import barcode, splice, umi
+from isoquilt.operators import barcode, exons, extract, splice, umi
 from isoquilt.plans import longread, queries_splice
 from isoquilt.plans import testbed as tb
 from isoquilt.session import checkpoint_dir
@@ -92,7 +92,34 @@ def test_voting_deals_reads_out_once(spark, monkeypatch):
     assert modes.count() == joined.count() > 0 and modes.exceptAll(joined).isEmpty()
 
 
-def test_molecule_reads_are_the_reads(spark):
-    one, two = tb.reads(spark, SF), tb.molecule_reads(spark, SF)
+def test_dealt_reads_are_the_reads(spark):
+    one = tb.reads(spark, SF)
+    two = tb.dealt_reads(spark, SF, "gene", "cell", "molecule").select(*one.columns)
     assert one.count() == two.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert one.exceptAll(two).isEmpty()
+
+
+def test_reads_stay_where_they_are_to_meet_genes(spark, monkeypatch):
+    """What the planner would broadcast by itself does not decide; genes beyond the counted size are joined the same."""
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = extract.read_genes(tb.alignments(spark, SF), tb.gene_bed(spark, SF)).select("read_name", "gene")
+        assert "Exchange hashpartitioning" not in met._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(extract, "BROADCAST_PLACES", 0)
+        joined = extract.read_genes(tb.alignments(spark, SF), tb.gene_bed(spark, SF)).select("read_name", "gene")
+        assert "Exchange hashpartitioning" in joined._jdf.queryExecution().executedPlan().toString()
+        assert met.count() == joined.count() > 0 and met.exceptAll(joined).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_counts_stay_where_they_are_to_meet_exons(spark, monkeypatch):
+    """Rows are mapped in place; genes beyond the counted size give the same exons by way of distinct isoforms."""
+    counts, bed = tb.splice_count(spark, SF), tb.gene_bed(spark, SF)
+    made = exons.exon_counts(counts, bed)
+    # the one that adds up the counts
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(extract, "BROADCAST_PLACES", 0)
+    joined = exons.exon_counts(counts, bed)
+    assert made.count() == joined.count() > 0 and made.exceptAll(joined).isEmpty()
