@@ -356,7 +356,7 @@ tb.sql_table(
 
 
 def _bins(spark, sf):
-    weights = tb.reads(spark, sf).groupBy("gene").agg(F.count("*").alias("weight"))
+    weights = tb.genes_of_reads(spark, sf).groupBy("gene").agg(F.count("*").alias("weight"))
     return bc.pack_genes(weights, 4)
 
 
@@ -371,7 +371,7 @@ def dist_binpack(spark, sf):
     "SELECT b.bin, count(*) AS reads FROM reads r JOIN gene_bins b USING (gene) GROUP BY b.bin",
 )
 def snk_split(spark, sf):
-    return tb.reads(spark, sf).select("gene").join(_bins(spark, sf), "gene").groupBy("bin").agg(F.count("*").alias("reads"))
+    return tb.genes_of_reads(spark, sf).join(_bins(spark, sf), "gene").groupBy("bin").agg(F.count("*").alias("reads"))
 
 
 @query(
@@ -381,4 +381,4 @@ def snk_split(spark, sf):
        AS file FROM gene_weights""",
 )
 def snk_split_simple(spark, sf):
-    return bc.equal_split(tb.reads(spark, sf).select("gene"), 4)
+    return bc.equal_split(tb.genes_of_reads(spark, sf), 4)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from isoquilt.config import BarcodeConfig
 from isoquilt.functions.align import global_score
 from isoquilt.operators import barcode, exons, extract, splice, umi
-from isoquilt.plans import longread, queries_splice
+from isoquilt.plans import longread, queries_barcode, queries_splice
 from isoquilt.plans import testbed as tb
 from isoquilt.session import checkpoint_dir
 
@@ -123,3 +123,13 @@ def test_counts_stay_where_they_are_to_meet_exons(spark, monkeypatch):
     monkeypatch.setattr(extract, "BROADCAST_PLACES", 0)
     joined = exons.exon_counts(counts, bed)
     assert made.count() == joined.count() > 0 and made.exceptAll(joined).isEmpty()
+
+
+def test_genes_are_weighed_once(spark):
+    """The plan of the bins holds no read any more, and counting genes keeps no reads."""
+    packed = queries_barcode.dist_binpack(spark, SF)
+    assert "Scan parquet" not in packed._jdf.queryExecution().executedPlan().toString()
+    weights = tb.genes_of_reads(spark, SF).groupBy("gene").agg(F.count("*").alias("weight"))
+    assert "lineitem.parquet" in weights.inputFiles()[0]
+    assert packed.count() > 0 and packed.select("gene", "weight").exceptAll(weights).isEmpty()
+    assert weights.exceptAll(tb.reads(spark, SF).groupBy("gene").agg(F.count("*").alias("weight"))).isEmpty()
