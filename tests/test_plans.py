@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from isoquilt.config import BarcodeConfig
+from isoquilt.functions import intervals
 from isoquilt.functions.align import global_score
 from isoquilt.operators import barcode, exons, extract, splice, umi
-from isoquilt.plans import longread, queries_barcode, queries_splice
+from isoquilt.plans import longread, queries_barcode, queries_legacy, queries_splice
 from isoquilt.plans import testbed as tb
 from isoquilt.session import checkpoint_dir
 
@@ -133,3 +134,13 @@ def test_genes_are_weighed_once(spark):
     assert "lineitem.parquet" in weights.inputFiles()[0]
     assert packed.count() > 0 and packed.select("gene", "weight").exceptAll(weights).isEmpty()
     assert weights.exceptAll(tb.reads(spark, SF).groupBy("gene").agg(F.count("*").alias("weight"))).isEmpty()
+
+
+def test_isoforms_are_parsed_once_for_inclusion(spark):
+    """One split of the text for both tests, no pattern for a block, and no reads kept for it."""
+    included = queries_legacy.hp_include(spark, SF)
+    plan = included._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r", \|, -1)") == 1 and "stringsplitsql" not in plan
+    assert "lineitem.parquet" in included.inputFiles()[0]
+    blocks = spark.range(1).select(intervals.parse_blocks(F.lit("1,20|300,4000")).alias("b")).first().b
+    assert [tuple(b) for b in blocks] == [(1, 20), (300, 4000)]
