@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from isoquilt.config import BarcodeConfig
 from isoquilt.functions import intervals
 from isoquilt.functions.align import global_score
-from isoquilt.operators import barcode, exons, extract, splice, umi
+from isoquilt.operators import barcode, exons, extract, legacy, splice, umi
 from isoquilt.plans import longread, queries_barcode, queries_legacy, queries_splice
 from isoquilt.plans import testbed as tb
 from isoquilt.session import checkpoint_dir
@@ -144,3 +144,19 @@ def test_isoforms_are_parsed_once_for_inclusion(spark):
     assert "lineitem.parquet" in included.inputFiles()[0]
     blocks = spark.range(1).select(intervals.parse_blocks(F.lit("1,20|300,4000")).alias("b")).first().b
     assert [tuple(b) for b in blocks] == [(1, 20), (300, 4000)]
+
+
+def test_modal_coverage_stays_where_its_reads_are(spark):
+    """One shuffle, of the table's rows; the same medians as by modal texts joined back to all reads."""
+    made = queries_legacy.ul_coverage(spark, SF)
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    keys = ["cell", "gene", "cluster"]
+    values = "concat(if(id % 3 = 0, '0.5', '1.0'), '|', id % 7 / 10.0, if(id % 5 = 0, '|0.25', ''))"
+    odd = spark.range(600).selectExpr(
+        "if(id % 50 = 0, null, 'c') AS cell", "'g' AS gene", "id % 4 AS cluster",
+        "if(id % 5 = 0, '1|2|3', if(id % 2 = 0, '1|2', '2|3')) AS exon", f"if(id % 11 = 0, null, {values}) AS coverage",
+    )
+    for reads in (odd, queries_legacy._coverage_reads(spark, SF).select(*keys, "exon", "coverage")):
+        joined = legacy.median_coverage(reads.join(legacy.modal_exons(reads, keys), keys), keys)
+        counted = legacy.modal_coverage(reads, keys)
+        assert counted.count() == joined.count() > 0 and counted.exceptAll(joined).isEmpty()
