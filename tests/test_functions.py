@@ -204,3 +204,16 @@ def test_split_graph_two_cliques():
 
 def test_min_edit(spark):
     assert one(spark, legacy.min_edit(F.lit("AAACCCGGGTTT"), F.lit("AACCCGGGTTTT"))) == 0
+
+
+def test_bounded_distances(spark):
+    """What is within the bound is the distance itself, what is not is null or above it."""
+    texts = ["AAACCCGGGTTT", "AACCCGGGTTTT", "AAACCAGGGTTT", "TTTGGGCCCAAA", "ACGT", "AAACCAGCGTTT"]
+    pairs = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    for r in pairs.select(legacy.min_edit(F.col("a"), F.col("b")).alias("d"), legacy.min_edit(F.col("a"), F.col("b"), most=2).alias("m")).collect():
+        assert r.m == (r.d if r.d is not None and r.d <= 2 else None)
+    isoforms = ["1,100|200,300|400,500", "1,100|400,500", "1,100|200,290|400,500", "20,100|200,260|390,500", "600,700"]
+    both = spark.createDataFrame([(a, b) for a in isoforms for b in isoforms], "a string, b string")
+    a, b = (intervals.parse_blocks(F.col(c)) for c in "ab")
+    for r in both.select(intervals.span_distance(a, b).alias("d"), intervals.span_distance(a, b, 80).alias("m")).collect():
+        assert r.m == r.d or (r.m is None and r.d > 80)
