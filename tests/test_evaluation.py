@@ -7,7 +7,9 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from isoquilt.operators import barcode, helpers, legacy, umi_evaluation
+from isoquilt.operators import barcode, helpers, legacy, splice, umi, umi_evaluation
+from isoquilt.plans import queries_legacy
+from isoquilt.plans import testbed as tb
 
 
 def _mse(x, y, norm):
@@ -204,3 +206,39 @@ def test_depth_at_places(spark):
     )
     want = {(g, p): float(c) for g, p in set(places) for h, s, e, c in runs if g == h and s <= p <= e}
     assert {(r.gene, r.at): r.depth for r in got.collect()} == want
+
+
+def test_combined_reads_hold_nodes_and_molecules(spark):
+    rng = random.Random(9)
+    rows = []
+    for n in range(900):
+        umi_text = rng.choice(["ACGTACGTACGT", "ACGTTCGTACGT", "GGGTACGTACGT", "ACG"])
+        rows.append((f"r{n}", rng.choice("AN"), rng.choice("xy"), 0.0, rng.randint(0, 4), "A" * 15 + umi_text, rng.choice(["g1", "g2"]), rng.choice(["1,9", "2,9"]), rng.choice(["m", "n", None]), rng.random() < 0.5))
+    reads = spark.createDataFrame(rows, "read_name string, setting string, barcode string, start double, edit int, seq string, gene string, isoform string, molecule string, polyA boolean")
+    known = umi.known_nodes(reads, "setting")
+    whole = umi.whole_nodes(known.withColumn("gene", F.concat_ws("/", "setting", "gene")))
+    plain = umi.compress(umi.with_umi(reads.withColumn("gene", F.concat_ws("/", "setting", "gene")))).select(*whole.columns)
+    assert sorted(whole.collect()) == sorted(plain.collect()) and 0 < whole.agg(F.sum("n")).first()[0] < 900
+    # a null molecule is one of its own
+    real = known.groupBy("setting", "cell", "gene", "isoform").agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum("n_err").alias("e"))
+    want = reads.groupBy("setting", F.col("barcode").alias("cell"), "gene", "isoform").agg(
+        F.count("*").alias("n"), F.count_distinct(F.coalesce("molecule", F.lit(""))).alias("m"), F.sum((F.col("edit") > 2).cast("bigint")).alias("e")
+    )
+    assert sorted(real.collect()) == sorted(want.collect())
+    assert splice.error_ratio(known, n="n", wrong="n_err") == splice.error_ratio(reads)
+
+
+def test_reads_are_shuffled_once_for_the_truth(spark):
+    """No join of the reads with themselves, no read is kept, nodes are made where reads were dealt to."""
+    plan = queries_legacy._known_nodes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    nodes = spark.createDataFrame([("g", "c", 1, "ACGTACGTACGT", "1,9", 2), ("g", "c", 2, "ACGTACGTACGA", "1,9", 1)], "gene string, cell string, id long, umi string, isoform string, n long")
+    pairs = umi.close_pairs(nodes)
+    # genes go to every task, also where the planner would not send them
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    busy = umi.busy_genes(tb.true_cell_exon(tb.dealt_reads(spark, "/root/testdata/sf0.001", "gene", "cell")))
+    plan = busy._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # counting the groups does not shuffle the nodes beside the pairs
+    assert "LeftAnti" not in pairs._jdf.queryExecution().executedPlan().toString() and pairs.count() == 1
