@@ -1,10 +1,13 @@
 """One document of each group of near copies: shingles of five words, Jaccard similarity of 0.8.
 
-Each different set of shingles gets ``BANDS`` keys, each made of ``ROWS`` minima under seeded hashes;
-sets that share a key are candidates.  A pair at similarity ``s`` is a candidate with probability
+Each different set of shingles has the SimHash fingerprint of one of its texts; fingerprints within ``RADIUS`` bits are found by
+covering masks (``simhash.near_links``), none is missed, and sets linked by them are candidates.  Sets at the similarity lie
+beyond that radius as a rule (two independent bits differ with probability 0.15 at 0.8, 10 of 64), so they get keys as well:
+``BANDS`` for each set, each made of ``ROWS`` minima under seeded hashes; sets that share a key are candidates.  A pair at similarity ``s`` is a candidate with probability
 ``1 - (1 - s**ROWS)**BANDS``, 0.9999 at 0.8.  The similarity of a candidate pair is computed on the whole sets.
 
-The pairs of a bucket are never formed as such.  First every member is compared with the smallest.  Then, where a bucket
+The pairs of a bucket are never formed as such.  First every member is compared with the smallest, and sets that fingerprints
+link with each other.  Then, where a bucket
 still holds several components, the members outside its largest one are compared with ``PIVOTS`` members of that
 one, and what is left outside with all members of other components.  A pair is dropped before its sets are read
 if its sizes, or the bits of the two sets, rule out the similarity: every shingle flips one of ``BITS`` bits, so sets
@@ -24,12 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isoquilt.llm.common import quoted, release, small_side
-from isoquilt.llm.simhash import shingle_hashes
+from isoquilt.llm.simhash import fingerprint, near_links, shingle_hashes
 from isoquilt.operators.graph import connected_components
 from isoquilt.session import cut
 
 SHINGLE = 5
 LEAST = 0.8
+#: Bits in which fingerprints that link their sets may differ.
+RADIUS = 3
 BANDS = 24
 ROWS = 5
 #: Shingles that meet the seeded hashes at once.
@@ -67,14 +72,16 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketches(named: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, th, rh, s, n, keys, bits) of each row: its names, and the name, size, keys and bits of its set."""
+    """(doc_id, th, rh, s, n, fp, keys, bits) of each row: its names, its fingerprint, and the name, size, keys and bits of its set."""
 
-    @F.pandas_udf("s long, n int, keys array<long>, bits array<long>")
+    @F.pandas_udf("s long, n int, fp long, keys array<long>, bits array<long>")
     def of(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(t, shingle) for t in texts]
+        hashes = [shingle_hashes(t, shingle) for t in texts]
+        prints = np.array([fingerprint(h) for h in hashes], dtype=np.uint64).view(np.int64)
+        sets = [np.unique(np.array(h, dtype=np.uint64)) for h in hashes]
         names = np.array([xxhash.xxh64_intdigest(x.tobytes(), 7) for x in sets], dtype=np.uint64).view(np.int64)
-        sketch = {"s": names, "n": [len(x) for x in sets], "keys": [band_keys(x) for x in sets], "bits": [parity_bits(x) for x in sets]}
-        return pd.DataFrame(sketch)
+        sketch = {"s": names, "n": [len(x) for x in sets], "fp": prints}
+        return pd.DataFrame(sketch | {"keys": [band_keys(x) for x in sets], "bits": [parity_bits(x) for x in sets]})
 
     made = named.select("row.doc_id", "th", "rh", of(F.col("row.text")).alias("made"))
     return cut(made.select("doc_id", "th", "rh", "made.*"))
@@ -112,6 +119,18 @@ def _may_be_alike(x: str, y: str, least: float) -> Column:
     return (F.least(n, m) >= F.lit(least) * F.greatest(n, m)) & (flipped <= (n + m) * F.lit((1 - least) / (1 + least) + 1e-9))
 
 
+def print_pairs(reps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (x, y), x the smaller, that join all sets whose fingerprints are linked: sets (s, fp) of one print with its
+    smallest, and the smallest sets of prints within ``radius`` bits."""
+    prints = cut(reps.groupBy("fp").agg(F.min("s").alias("first"), F.count("*").alias("many")))
+    same = reps.join(prints.where("many > 1"), "fp").where("s <> first").select(F.col("first").alias("x"), F.col("s").alias("y"))
+    near = near_links(prints.select("fp"), radius)
+    for side in ("a", "b"):
+        near = near.join(prints.select(F.col("fp").alias(side), F.col("first").alias("of_" + side)), side)
+    near = near.select(F.least("of_a", "of_b").alias("x"), F.greatest("of_a", "of_b").alias("y"))
+    return same.unionByName(near).distinct()
+
+
 def _components(links: DataFrame) -> DataFrame:
     return cut(connected_components(links, []).select(F.col("id").alias("s"), "component"))
 
@@ -141,16 +160,17 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, pivots
     rows = _sketches(named, shingle)
     # rows of one set are alike; the texts are read again at one of them
     reps = rows.groupBy("s").agg(
-        F.min(F.struct("th", "rh")).alias("at"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits")
+        F.min(F.struct("th", "rh")).alias("at"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.first("keys").alias("keys"), F.first("bits").alias("bits")
     )
-    reps = cut(reps.select("s", "at.th", "at.rh", "n", "keys", "bits"))
+    reps = cut(reps.select("s", "at.th", "at.rh", "n", "fp", "keys", "bits"))
     keyed = reps.select("s", "n", F.posexplode("keys").alias("band", "key"))
     first = keyed.groupBy("band", "key").agg(F.min(F.struct("s", "n")).alias("first"), F.count("*").alias("many")).where("many > 1")
     members = cut(keyed.join(first, ["band", "key"]).select("band", "key", "s", "n", "first"))
     release(docs.sparkSession)
 
     sized = F.least("n", "first.n") >= F.lit(least) * F.greatest("n", "first.n")
-    star = members.where((F.col("s") != F.col("first.s")) & sized).select(F.col("first.s").alias("x"), F.col("s").alias("y")).distinct()
+    star = members.where((F.col("s") != F.col("first.s")) & sized).select(F.col("first.s").alias("x"), F.col("s").alias("y"))
+    star = star.unionByName(print_pairs(reps.select("s", "fp"))).distinct()
     for side, name in (("x", "a"), ("y", "b")):
         star = star.join(reps.select(F.col("s").alias(side), F.struct("s", "n", "bits").alias(name)), side)
     done = cut(star.where(_may_be_alike("a", "b", least)).select(F.col("x").alias("a"), F.col("y").alias("b")))

@@ -49,7 +49,11 @@ def shingle_hashes(text: str | None, shingle: int) -> list[int]:
 
 def simhash(text: str | None, shingle: int) -> int:
     """Unsigned 64-bit fingerprint of one text."""
-    hashes = shingle_hashes(text, shingle)
+    return fingerprint(shingle_hashes(text, shingle))
+
+
+def fingerprint(hashes: list[int]) -> int:
+    """Unsigned 64-bit fingerprint of the hashes of one text's shingles."""
     if not hashes:
         return 0
     octets = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
@@ -173,7 +177,7 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies, by the pipeline's own measure and not by fingerprints."""
+    """One row of each group of near copies, by fingerprints of five-word shingles and the pipeline's own measure."""
     from isoquilt.llm import near_copies
 
     return near_copies.one_of_each(docs)

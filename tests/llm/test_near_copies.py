@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from isoquilt.llm import near_copies, simhash
 from .helpers import documents, words
@@ -118,3 +119,38 @@ def test_bucket_of_thousands_of_sets(spark):
         of.setdefault(find(d), set()).add(named[d])
     # a pair at the similarity is a candidate with probability 0.9999; here every component is found
     assert len(of) == len(set(named.values())) and all(len(x) == 1 for x in of.values())
+
+
+def test_fingerprints_of_the_stage(spark):
+    """The stage takes fingerprints of five words, and all within three bits are joined, equal ones too."""
+    rng = random.Random(41)
+    texts = [None, " ", "One two", *[words(5000 + k, 120) for k in range(5)]]
+    rows = near_copies._sketches(near_copies._named(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), 5)
+    got = {r.doc_id: r.fp for r in rows.select("doc_id", "fp").collect()}
+    assert all(got[k] % (1 << 64) == simhash.simhash(t, 5) for k, t in enumerate(texts))
+
+    prints = []
+    for _ in range(40):
+        base = rng.randrange(1 << 64)
+        prints += [base, base] + [base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5))) for _ in range(4)]
+    sets = [(k, int(np.uint64(p).astype(np.int64))) for k, p in enumerate(prints)]
+    pairs = near_copies.print_pairs(spark.createDataFrame(sets, "s long, fp long")).collect()
+    groups = []
+    for near in ([(x, y) for x, _ in sets for y in range(x) if (prints[x] ^ prints[y]).bit_count() <= 3], [tuple(p) for p in pairs]):
+        group = list(range(len(sets)))
+        for x, y in near:
+            group = [group[x] if g == group[y] else g for g in group]
+        groups.append({frozenset(k for k in range(len(sets)) if group[k] == g) for g in group})
+    assert groups[0] == groups[1] and all(p.x < p.y for p in pairs)
+
+
+def test_links_by_fingerprints_alone(spark, monkeypatch):
+    """Near copies that share no key are joined by their fingerprints."""
+    plain = near_copies._sketches
+    monkeypatch.setattr(near_copies, "_sketches", lambda *a: plain(*a).withColumn("keys", F.array(F.col("s"))))
+    base = words(91, 2000)
+    texts = [(1, base), (2, base + " more"), (3, words(92, 2000))]
+    made = [simhash.simhash(t, 5) for _, t in texts]
+    assert (made[0] ^ made[1]).bit_count() <= 3
+    got = near_copies.one_of_each(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3]
