@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from isoquilt.functions import align, communities, intervals, seq, stats
+from isoquilt.functions import align, communities, intervals, kmer_numbers, seq, stats
 from isoquilt.operators import exons, extract, legacy, splice, umi
 
 
@@ -217,3 +217,43 @@ def test_bounded_distances(spark):
     a, b = (intervals.parse_blocks(F.col(c)) for c in "ab")
     for r in both.select(intervals.span_distance(a, b).alias("d"), intervals.span_distance(a, b, 80).alias("m")).collect():
         assert r.m == r.d or (r.m is None and r.d > 80)
+
+
+def _texts(draw, number, length, letters="ACGT"):
+    return ["".join(draw.choice(letters) for _ in range(length)) for _ in range(number)]
+
+
+@pytest.mark.parametrize("letters, k, least", [("ACGT", 4, 0.25), ("AC", 3, 0.25), ("ACGTNx", 3, 0.4), ("ACG", 3, 0.1), ("ACGT", 8, 0.25)])
+def test_texts_looked_up_by_pairs_find_what_postings_find(letters, k, least):
+    draw = random.Random(k)
+    bars = sorted(set(_texts(draw, 150, 16, letters) + _texts(draw, 10, 12, letters) + ["A" * 16, "AC" * 8, "ACG"]))
+    texts = [a + draw.choice(bars) + b for a, b in zip(_texts(draw, 60, 7, letters), _texts(draw, 60, 20, letters))]
+    texts += _texts(draw, 60, 40, letters) + ["", "A" * 30, bars[0]]
+    sets = [{t[i : i + k] for i in range(len(t) - k + 1)} for t in texts]
+    known = set().union(*({b[i : i + k] for i in range(len(b) - k + 1)} for b in bars))
+    expected = {}
+    for t, held in enumerate(s & known for s in sets):
+        for n, b in enumerate(bars):
+            own = {b[i : i + k] for i in range(len(b) - k + 1)}
+            if held & own and len(held & own) / (math.sqrt(len(held)) * math.sqrt(len(own))) >= least:
+                expected[t, n] = len(held & own) / math.sqrt(len(held) * len(own))
+    for paired in (-1, 1 << 40):
+        index = kmer_numbers.Index(bars, k)
+        index.PAIRED = paired
+        text, barcode, cos = index.similar(pd.Series(texts, dtype=object), least)
+        assert dict(zip(zip(text.tolist(), barcode.tolist()), cos.tolist())) == pytest.approx(expected)
+
+
+def test_long_whitelists_are_not_counted_posting_by_posting(monkeypatch):
+    """Pairs of k-mers leave a few of 60 000 barcodes to look at, where each of about 48 k-mers has eight postings."""
+    draw = random.Random(5)
+    bars, seen, whole = sorted(set(_texts(draw, 60_000, 16))), [], kmer_numbers.Index._verified
+    texts = [a + draw.choice(bars) + b for a, b in zip(_texts(draw, 200, 10), _texts(draw, 200, 29))]
+    index = kmer_numbers.Index(bars, 8)
+    index.PAIRED = 50
+    monkeypatch.setattr(kmer_numbers.Index, "_by_postings", lambda self, row, *rest: (seen.append(8 * len(row) * (self is index)), (np.empty(0, int), np.empty(0, int), np.empty(0)))[1])
+    monkeypatch.setattr(kmer_numbers.Index, "_verified", lambda self, text, *rest: (seen.append(len(text)), whole(self, text, *rest))[1])
+    text, barcode, _ = index.similar(pd.Series(texts), 0.25)
+    assert set(range(200)) <= set(text.tolist())
+    # barcodes looked at, and the postings of texts that are not looked up by pairs
+    assert sum(seen) < 200 * 60
