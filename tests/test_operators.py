@@ -6,6 +6,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from isoquilt.config import UmiConfig
@@ -40,6 +41,32 @@ def test_large_groups_find_the_same_edges(spark):
     assert a == b and len(a) > 50
 
 
+def test_groups_are_solved_alike_in_tasks_and_by_joins(spark):
+    nodes = _noisy_nodes(spark).cache()
+    edges = umi.similar_edges(nodes, texts=True).cache()
+    share = {(r.a, r.b): r.share for r in graph.shared_neighbours(edges, umi.KEYS).collect()}
+    named = {(r.a, r.b): (r.umi_a, r.iso_a, r.umi_b, r.iso_b, r.ns) for r in edges.collect()}
+    component = {r.id: r.component for r in graph.connected_components(edges, umi.KEYS).collect()}
+    cluster = {r.id: r.cluster for r in graph.cluster_graphs(edges, umi.KEYS, 3, 7, 20_000).collect()}
+    assert max(share.values()) > 1 and len(set(component.values())) > 4
+    # one group is larger than the second bound
+    sizes = sorted(r["count"] for r in nodes.groupBy(*umi.KEYS).count().collect())
+    for bound in (10_000, sizes[-1] - 1):
+        cfg = UmiConfig(pair_bound=bound)
+        found = umi.shared_edges(nodes, cfg, itself=True).collect()
+        assert {(r.a, r.b): r.share for r in found if r.a != r.b} == share
+        assert {(r.a, r.b): (r.umi_a, r.iso_a, r.umi_b, r.iso_b, r.ns) for r in found} == named
+        assert all(r.share is None for r in found if r.a == r.b)
+        assert {r.id: r.component for r in umi.node_components(nodes, cfg).collect()} == component
+        assert {r.id: r.cluster for r in umi.cluster(nodes, cfg).collect() if r.id in cluster} == cluster
+
+
+def test_groups_of_several_batches_stay_whole():
+    tables = [pa.table({"k": k, "v": list(range(len(k)))}) for k in (["a"], ["a", "a", "b"], [], ["b"], ["b", "c", "d"], ["d"])]
+    whole = [(t.column("k").to_pylist(), b.tolist()) for t, b in graph.whole_groups(tables[:2] + tables[3:], ["k"])]
+    assert whole == [(["a"] * 3, [0, 3]), (["b"] * 3 + ["c"], [0, 3, 4]), (["d"] * 2, [0, 2])]
+
+
 def test_components_of_both_routes(spark):
     chain = [("g", i, i + 1) for i in range(60)] + [("g", 100, 101), ("h", 5, 6)]
     edges = spark.createDataFrame(chain, "k string, a bigint, b bigint")

@@ -1,5 +1,7 @@
 """What plans must look like, and where intermediates may go."""
 
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,9 +11,9 @@ from isoquilt.config import BarcodeConfig
 from isoquilt.functions import intervals
 from isoquilt.functions.align import global_score
 from isoquilt.operators import barcode, exons, extract, legacy, splice, umi
-from isoquilt.plans import longread, queries_barcode, queries_legacy, queries_splice
+from isoquilt.plans import longread, queries_barcode, queries_legacy, queries_splice, queries_umi
 from isoquilt.plans import testbed as tb
-from isoquilt.session import checkpoint_dir
+from isoquilt.session import checkpoint_dir, cut, release
 
 SF = "/root/testdata/sf0.001"
 
@@ -160,3 +162,35 @@ def test_modal_coverage_stays_where_its_reads_are(spark):
         joined = legacy.median_coverage(reads.join(legacy.modal_exons(reads, keys), keys), keys)
         counted = legacy.modal_coverage(reads, keys)
         assert counted.count() == joined.count() > 0 and counted.exceptAll(joined).isEmpty()
+
+
+def test_pairs_stay_where_their_nodes_are_laid_out(spark):
+    """Shares, components and clusters are found there, and no names are joined to the pairs."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {q: getattr(queries_umi, q)(spark, SF)._jdf.queryExecution().executedPlan().toString() for q in ("um_snn", "um_snn_graph", "um_edges", "um_needle", "um_graph")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for q in ("um_snn", "um_snn_graph"):
+        # the two sides of the pairs, which are one shuffle when it runs
+        assert plans[q].count("Exchange ") == 2 and plans[q].count("SortMergeJoin") == 1, q
+    for q in ("um_edges", "um_needle", "um_graph"):
+        assert plans[q].count("SortMergeJoin") == 4, q
+
+
+def test_checkpoints_go_when_nothing_refers_to_them(spark):
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    assert spark.sparkContext.getConf().get("spark.cleaner.referenceTracking.cleanCheckpoints", "false") == "false"
+    files = lambda: {p for p in folder.rglob("part-*") if "rdd-" in str(p)}
+    before = files()
+    df = cut(spark.range(1000))
+    made = files() - before
+    assert made and df.count() == 1000
+    del df
+    for _ in range(40):
+        release(spark)
+        time.sleep(0.25)
+        if not made & files():
+            break
+    assert not made & files()
+    assert spark.sparkContext._jsc.sc().conf().get("spark.cleaner.referenceTracking.cleanCheckpoints", "false") == "false"
