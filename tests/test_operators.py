@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from isoquilt.config import UmiConfig
 from isoquilt.functions import communities, stats
-from isoquilt.operators import barcode, graph, psi, sizes, umi
+from isoquilt.operators import barcode, graph, legacy, psi, sizes, umi
 from isoquilt.session import codes, ordinal, running_totals
 
 
@@ -328,3 +328,19 @@ def test_replicates_are_not_shuffled(spark):
     out = psi.phi_interval(values, 20)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and out.count() == 2
+
+
+def test_groups_of_texts_are_merged_alike_whole_and_by_components(spark, monkeypatch):
+    """Many small groups take no task of their own each, and a large one is taken apart first."""
+    nodes = _noisy_nodes(spark).cache()
+    distances = legacy.text_distances(nodes).cache()
+    found, sizes = {}, sorted(r["count"] for r in distances.groupBy(*umi.KEYS).count().collect())
+    for closest in (False, True):
+        for bound in (20_000, sizes[-1] - 1):
+            monkeypatch.setattr(legacy, "UmiConfig", lambda: UmiConfig(task_edge_bound=bound))
+            merged = legacy.merge_clusters(distances, closest)
+            assert "FlatMapGroupsInPandas" not in merged._jdf.queryExecution().executedPlan().toString()
+            found[closest, bound] = {(r.gene, r.cell, r.umi): r.cluster for r in merged.collect()}
+    for closest in (False, True):
+        one, other = (found[closest, bound] for bound in (20_000, sizes[-1] - 1))
+        assert one == other and 1 < len(set(one.values())) < len(one)
